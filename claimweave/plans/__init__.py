@@ -9,7 +9,7 @@ def load_catalog() -> dict[str, Query]:
     """Import every module that registers queries, then return the registry."""
     from claimweave.plans import catalog  # noqa: F401
     try:
-        from claimweave.plans import extracts  # noqa: F401
+        from claimweave.plans import extract_queries  # noqa: F401
     except ImportError:
         pass
     return REGISTRY

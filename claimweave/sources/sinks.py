@@ -55,3 +55,15 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str
              header: bool = True) -> DataFrame:
     return (spark.read.option("sep", sep).option("header", header)
             .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").schema(schema).csv(path))
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet below the shared checkpoint folder and read it back.
+
+    Cuts the lineage of a frame that several consumers read (the exploded
+    claim snapshot): it is computed once, survives the loss of executors,
+    and each consumer still gets column pruning and filter pushdown.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
