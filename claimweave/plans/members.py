@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from claimweave import functions as cf
 from claimweave import operators as op
+from claimweave.plans.encounters import Stager
+from claimweave.sources.sinks import stage as stage_table
 from claimweave.params import (CANONICAL_PLACE, DEFAULT_PLACE_CODE, DEPARTMENT_ALIAS, END_DATE_SENTINEL,
                                PROVINCE_ALIAS, SEX_CODES, UNKNOWN_PLACE, MembersParams)
 
@@ -37,14 +39,33 @@ class MembersInputs:
 
 # ---------------------------------------------------------------- chronic conditions
 
-def claim_diagnoses(claims: DataFrame, p: MembersParams) -> DataFrame:
-    """M1.2 ``siniestros``: distinct (claim, member, diagnosis, cover) in the window."""
-    c = op.snapshot(claims, p.claims_snapshot).where(
-        F.col("fec_hora_ocurrencia").between(cf.ts_ntz(p.chronic_from), cf.ts_ntz(p.chronic_to)))
+def _in_window(p: MembersParams):
+    return F.col("fec_hora_ocurrencia").between(cf.ts_ntz(p.chronic_from), cf.ts_ntz(p.chronic_to))
+
+
+def _after_first_year(p: MembersParams):
+    return F.col("fec_hora_ocurrencia") >= cf.ts_ntz(f"{p.first_year_after + 1}-01-01")
+
+
+def claim_events(claims: DataFrame, p: MembersParams, stage: Stager | None = stage_table) -> DataFrame:
+    """The claims snapshot exploded once to (claim, member, time, diagnosis, cover).
+
+    Both chronic-condition steps read it (the analysis window and the
+    first-date lookup); with ``stage`` the nested snapshot is scanned and
+    exploded once, and the narrow rows are written to the shared folder.
+    """
+    c = op.snapshot(claims, p.claims_snapshot).where(_in_window(p) | _after_first_year(p))
     ev = op.explode_rows(c.select("fec_hora_ocurrencia", "id_siniestro", MEMBER, "atencion_salud"),
                          "atencion_salud", "sd")
-    return ev.select("fec_hora_ocurrencia", "id_siniestro", MEMBER, F.col(f"sd.{DX}").alias(DX),
-                     F.col("sd.id_cobertura_origen").alias("id_cobertura_origen")).distinct()
+    flat = ev.select("fec_hora_ocurrencia", "id_siniestro", MEMBER, F.col(f"sd.{DX}").alias(DX),
+                     F.col("sd.id_cobertura_origen").alias("id_cobertura_origen"))
+    return stage(flat, "member_claim_events") if stage else flat
+
+
+def claim_diagnoses(events: DataFrame, p: MembersParams) -> DataFrame:
+    """M1.2 ``siniestros``: distinct (claim, member, diagnosis, cover) in the window."""
+    return events.where(_in_window(p)).select(
+        "fec_hora_ocurrencia", "id_siniestro", MEMBER, DX, "id_cobertura_origen").distinct()
 
 
 def chronic_claims(claim_dx: DataFrame, dx_groups: DataFrame, p: MembersParams) -> DataFrame:
@@ -59,12 +80,9 @@ def repeated_conditions(base0: DataFrame, p: MembersParams) -> DataFrame:
     return op.repeat_flag(base0, [MEMBER, DX, "grupo_riesgo"], "id_siniestro", p.min_claims).drop("cantidad")
 
 
-def first_diagnosis_dates(claims: DataFrame, p: MembersParams) -> DataFrame:
+def first_diagnosis_dates(events: DataFrame, p: MembersParams) -> DataFrame:
     """M1.6: earliest occurrence per (member, diagnosis), years after ``first_year_after``."""
-    c = op.snapshot(claims, p.claims_snapshot).where(
-        F.col("fec_hora_ocurrencia") >= cf.ts_ntz(f"{p.first_year_after + 1}-01-01"))
-    ev = op.explode_rows(c.select(MEMBER, "fec_hora_ocurrencia", "atencion_salud"), "atencion_salud", "b")
-    return (ev.groupBy(MEMBER, F.col(f"b.{DX}").alias(DX))
+    return (events.where(_after_first_year(p)).groupBy(MEMBER, DX)
             .agg(F.min("fec_hora_ocurrencia").alias("fecha_antiguedad")))
 
 
@@ -76,10 +94,12 @@ def chronic_lists(flags: DataFrame, first_dates: DataFrame) -> DataFrame:
                             "diag_h_2_cronicos", "fecha_antiguedad_dx")
 
 
-def repeat_condition_members(inp: MembersInputs, p: MembersParams) -> DataFrame:
+def repeat_condition_members(inp: MembersInputs, p: MembersParams,
+                             stage: Stager | None = stage_table) -> DataFrame:
     """Members with one chronic diagnosis on >= 2 claims, with first dates (M1.2-M1.8)."""
-    base0 = chronic_claims(claim_diagnoses(inp.claims, p), inp.dx_groups, p)
-    return chronic_lists(repeated_conditions(base0, p), first_diagnosis_dates(inp.claims, p))
+    events = claim_events(inp.claims, p, stage)
+    base0 = chronic_claims(claim_diagnoses(events, p), inp.dx_groups, p)
+    return chronic_lists(repeated_conditions(base0, p), first_diagnosis_dates(events, p))
 
 
 # ---------------------------------------------------------------- people and places
@@ -199,9 +219,9 @@ OUTPUT_COLS = [
     "mnt_prima_neta_inducida_afiliado_sol", "dx_cronicos_relacionados", "fecha_antiguedad_dx_afiliado"]
 
 
-def members_extract(inp: MembersInputs, p: MembersParams) -> DataFrame:
+def members_extract(inp: MembersInputs, p: MembersParams, stage: Stager | None = stage_table) -> DataFrame:
     """M1.16-M1.18: recode, place codes by name, formats, masking (22 columns)."""
-    rows = member_rows(inp, p, repeat_condition_members(inp, p))
+    rows = member_rows(inp, p, repeat_condition_members(inp, p, stage))
     dept = inp.departments.select("cod_departamento", "descripcion").distinct()
     prov = inp.provinces.select("cod_provincia", "descripcion").distinct()
     f = op.lookup_code(rows, dept, "des_departamento_gestion_servicio_asegurado", "descripcion",
@@ -237,6 +257,6 @@ def members_extract(inp: MembersInputs, p: MembersParams) -> DataFrame:
         "dx_cronicos_relacionados", "fecha_antiguedad_dx_afiliado")
 
 
-def members_count(inp: MembersInputs, p: MembersParams) -> DataFrame:
+def members_count(inp: MembersInputs, p: MembersParams, stage: Stager | None = stage_table) -> DataFrame:
     """M1.19: number of distinct members in the extract."""
-    return members_extract(inp, p).agg(F.count_distinct("numero_afiliado").alias("n_afiliados"))
+    return members_extract(inp, p, stage).agg(F.count_distinct("numero_afiliado").alias("n_afiliados"))

@@ -19,15 +19,21 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._scans: dict[tuple[str, str | None], DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
 
     def t(self, name: str, schema: StructType | None = None) -> DataFrame:
-        reader = self.spark.read
-        if schema is not None:
-            # An explicit narrow schema prunes nested fields that Catalyst
-            # cannot prune through two levels of explode.
-            reader = reader.schema(schema)
-        return reader.parquet(self.path(name))
+        """Lazy scan of one table; the relation is resolved (file listing,
+        footer) once per ``Tables`` and reused by every reference."""
+        key = (name, schema.json() if schema is not None else None)
+        if key not in self._scans:
+            reader = self.spark.read
+            if schema is not None:
+                # An explicit narrow schema prunes nested fields that Catalyst
+                # cannot prune through two levels of explode.
+                reader = reader.schema(schema)
+            self._scans[key] = reader.parquet(self.path(name))
+        return self._scans[key]
 
