@@ -1,0 +1,78 @@
+"""Physical-plan properties: pushdown, pruning, and no slow-path operators."""
+
+from __future__ import annotations
+
+import datetime as dt
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from claimweave import functions as cf
+from claimweave import operators as op
+from claimweave.sources.sinks import scratch_path
+from claimweave.sources.tables import Tables
+from conftest import SF_SMALL
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+             "FlatMapGroupsInPandas", "MapInPandas")
+# A null-aware anti join (SQL NOT IN) prints as "... LeftAnti, BuildRight, true".
+NULL_AWARE = re.compile(r"LeftAnti, Build\w+, true")
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_slow_path_operators(spark, name):
+    plan = plan_of(entry.queries()[name](spark, SF_SMALL))
+    bad = [f for f in FORBIDDEN if f in plan] + NULL_AWARE.findall(plan)
+    assert not bad, f"{name}: {bad}"
+
+
+def test_null_aware_pattern_detects_sql_not_in(spark):
+    spark.range(10).withColumnRenamed("id", "k").createOrReplaceTempView("na_l")
+    spark.range(5).withColumnRenamed("id", "v").createOrReplaceTempView("na_r")
+    assert NULL_AWARE.search(plan_of(spark.sql("SELECT k FROM na_l WHERE k NOT IN (SELECT v FROM na_r)")))
+
+
+def test_year_filter_pushes_both_bounds(spark):
+    df = Tables(spark, SF_SMALL).t("orders").where(cf.in_year("o_orderdate", 1997))
+    plan = plan_of(df)
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+
+
+def test_snapshot_prunes_partitions(spark):
+    path = scratch_path(spark, "snap")
+    o = Tables(spark, SF_SMALL).t("orders").withColumn("periodo", cf.month_start("o_orderdate"))
+    o.write.partitionBy("periodo").parquet(path)
+    df = op.snapshot(spark.read.parquet(path), dt.date(1998, 10, 1)).select("o_orderkey")
+    plan = plan_of(df)
+    assert "PartitionFilters: [isnotnull(periodo" in plan and "(periodo#" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint>" in plan
+    want = o.where(F.col("periodo") == F.lit(dt.date(1998, 10, 1))).count()
+    assert df.count() == want
+
+
+def test_current_month_folds_to_a_literal(spark):
+    path = scratch_path(spark, "cm")
+    o = Tables(spark, SF_SMALL).t("orders").withColumn("periodo", cf.month_start("o_orderdate"))
+    o.write.partitionBy("periodo").parquet(path)
+    plan = plan_of(spark.read.parquet(path).where(F.col("periodo") == op.current_month("2001-07-15")))
+    assert "PartitionFilters" in plan and "2001-07-01" in plan
+
+
+def test_narrow_schema_prunes_nested_fields(spark):
+    from claimweave.sources import schemas as S
+    from claimweave.sources import standin
+    path = scratch_path(spark, "claims")
+    standin.claims(Tables(spark, SF_SMALL)).write.parquet(path)
+    narrow = S.CLAIMS  # full schema; prune through two explodes by selecting
+    df = spark.read.schema(narrow).parquet(path)
+    ev = op.explode_path(df.select("id_siniestro", "atencion_salud"),
+                         [("atencion_salud", "a"), ("a.procedimiento_salud", "p")])
+    plan = plan_of(ev.select("id_siniestro", F.col("p.nom_medico")))
+    assert "ReadSchema: struct<id_siniestro:string,atencion_salud:array<struct<" in plan
+    assert "des_estado_siniestro_origen" not in plan.split("ReadSchema:")[1].split("\n")[0]
