@@ -4,7 +4,7 @@ from claimweave.operators.nested import explode_rows, explode_path, keep_element
 from claimweave.operators.snapshots import current_month, latest_snapshot, snapshot
 from claimweave.operators.joins import (classify_by_priority, flag_from_keys, join_hit,
                                         lookup_code, not_in, semi_in)
-from claimweave.operators.aggs import (aligned_lists, count_distinct_by, first_pair,
+from claimweave.operators.aggs import (aligned_lists, count_distinct_by, first_pair, list_of_pairs,
                                        ordered_list, repeat_flag)
 from claimweave.operators.windows import latest_per_key, latest_value_per_key, rank_desc
 from claimweave.operators.sets import both_feeds, union_all
@@ -13,7 +13,7 @@ __all__ = [
     "explode_rows", "explode_path", "keep_elements",
     "current_month", "latest_snapshot", "snapshot",
     "classify_by_priority", "flag_from_keys", "join_hit", "lookup_code", "not_in", "semi_in",
-    "aligned_lists", "count_distinct_by", "first_pair", "ordered_list", "repeat_flag",
+    "aligned_lists", "count_distinct_by", "first_pair", "list_of_pairs", "ordered_list", "repeat_flag",
     "latest_per_key", "latest_value_per_key", "rank_desc",
     "both_feeds", "union_all",
 ]

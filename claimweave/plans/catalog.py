@@ -375,17 +375,23 @@ def explode_outer_claims(t: Tables) -> DataFrame:
 
 
 @query("explode_two_levels", "D9", """
-SELECT c.c_custkey, o.o_orderkey, l.l_linenumber, l.l_quantity
-FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
-LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+SELECT o.o_orderkey, r.l_linenumber, r.kind, r.code
+FROM orders o LEFT JOIN (
+  SELECT l_orderkey, l_linenumber, 'part' AS kind, CAST(l_partkey AS VARCHAR) AS code FROM lineitem
+  UNION ALL
+  SELECT l_orderkey, l_linenumber, 'supplier' AS kind, CAST(l_suppkey AS VARCHAR) AS code FROM lineitem) r
+  ON o.o_orderkey = r.l_orderkey
 """)
 def explode_two_levels(t: Tables) -> DataFrame:
-    per_cust = (nested_orders(t).groupBy("o_custkey")
-                .agg(F.collect_list(F.struct("o_orderkey", "lines")).alias("orders_arr")))
-    nested = t.t("customer").join(per_cust, F.col("c_custkey") == F.col("o_custkey"), "left")
-    ex = op.explode_path(nested, [("orders_arr", "o"), ("o.lines", "l")])
-    return ex.select("c_custkey", F.col("o.o_orderkey").alias("o_orderkey"),
-                     F.col("l.l_linenumber").alias("l_linenumber"), F.col("l.l_quantity").alias("l_quantity"))
+    """order -> lines[] -> references[] (claim -> care event -> procedure shape)."""
+    refs = F.array(F.struct(F.lit("part").alias("kind"), F.col("l_partkey").cast("string").alias("code")),
+                   F.struct(F.lit("supplier").alias("kind"), F.col("l_suppkey").cast("string").alias("code")))
+    lines = (t.t("lineitem").groupBy("l_orderkey")
+             .agg(F.collect_list(F.struct("l_linenumber", refs.alias("refs"))).alias("lines")))
+    nested = t.t("orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    ex = op.explode_path(nested.select("o_orderkey", "lines"), [("lines", "l"), ("l.refs", "r")])
+    return ex.select("o_orderkey", F.col("l.l_linenumber").alias("l_linenumber"),
+                     F.col("r.kind").alias("kind"), F.col("r.code").alias("code"))
 
 
 @query("explode_filter_inner", "D10", """
