@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The reference reads bounded monthly snapshots only (every claim, premium
+and address table is filtered to one ``periodo``); it has no watermarks,
+windows over event time, state or late data. Nothing is built here, so the
+library adds no behaviour the reference does not have. A scheduled run of
+the batch jobs per new snapshot month is the platform's concern.
+"""
