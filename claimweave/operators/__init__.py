@@ -6,7 +6,7 @@ from claimweave.operators.joins import (classify_by_priority, flag_from_keys, jo
                                         lookup_code, not_in, semi_in)
 from claimweave.operators.aggs import (aligned_lists, count_distinct_by, first_pair, list_of_pairs,
                                        ordered_list, repeat_flag)
-from claimweave.operators.windows import latest_per_key, latest_value_per_key, rank_desc
+from claimweave.operators.windows import latest_per_key, latest_value_per_key, rank_desc, rank_desc_split
 from claimweave.operators.sets import both_feeds, union_all
 
 __all__ = [
@@ -14,6 +14,6 @@ __all__ = [
     "current_month", "latest_snapshot", "snapshot",
     "classify_by_priority", "flag_from_keys", "join_hit", "lookup_code", "not_in", "semi_in",
     "aligned_lists", "count_distinct_by", "first_pair", "list_of_pairs", "ordered_list", "repeat_flag",
-    "latest_per_key", "latest_value_per_key", "rank_desc",
+    "latest_per_key", "latest_value_per_key", "rank_desc", "rank_desc_split",
     "both_feeds", "union_all",
 ]

@@ -20,6 +20,39 @@ def rank_desc(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     return df.withColumn(out, F.row_number().over(w))
 
 
+def rank_desc_split(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], out: str = "r",
+                    partitions: int | None = None, stage=None) -> DataFrame:
+    """``rank_desc`` for keys that may hold a large share of all rows.
+
+    ``order_cols`` must make the order unique within a key (add an id).
+    Steps, all distributed:
+
+    1. range-partition by (keys, order DESC): a hot key spreads over many
+       partitions, each holding a contiguous slice of its order;
+    2. write that layout with its partition id (``stage``), so a recomputed
+       stage cannot re-sample different range bounds;
+    3. number rows inside each (partition, key) slice;
+    4. offset of a slice = rows of the same key in earlier partitions, from a
+       count table with at most ``partitions`` rows per key;
+    5. rank = offset + local number.
+    """
+    from claimweave.sources.sinks import stage as stage_table
+
+    stage = stage or stage_table
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c).desc_nulls_last() for c in order_cols]
+    laid = df.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn(
+        "__pid", F.spark_partition_id())
+    laid = stage(laid, "rank_layout")
+    w_local = Window.partitionBy("__pid", *keys).orderBy(*order)
+    local = laid.withColumn("__lrn", F.row_number().over(w_local))
+    counts = laid.groupBy(*keys, "__pid").agg(F.count(F.lit(1)).alias("__cnt"))
+    w_prev = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(w_prev), F.lit(0))).drop("__cnt")
+    j = local.join(offsets, [*keys, "__pid"], "inner")
+    return j.withColumn(out, (F.col("__off") + F.col("__lrn")).cast("int")).drop("__pid", "__lrn", "__off")
+
+
 def latest_value_per_key(df: DataFrame, keys: Sequence[str], value: str,
                          out: str | None = None) -> DataFrame:
     """``row_number() ... DESC = 1`` then ``DISTINCT key, value`` is the key's MAX.
