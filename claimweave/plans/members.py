@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from claimweave import functions as cf
 from claimweave import operators as op
-from claimweave.plans.encounters import Stager
-from claimweave.sources.sinks import stage as stage_table
 from claimweave.params import (CANONICAL_PLACE, DEFAULT_PLACE_CODE, DEPARTMENT_ALIAS, END_DATE_SENTINEL,
                                PROVINCE_ALIAS, SEX_CODES, UNKNOWN_PLACE, MembersParams)
+from claimweave.sources.sinks import Stager
+from claimweave.sources.sinks import stage as stage_table
 
 MEMBER = "id_persona_afiliado"
 DX = "num_diagnostico_origen"
