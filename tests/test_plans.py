@@ -69,10 +69,20 @@ def test_narrow_schema_prunes_nested_fields(spark):
     from claimweave.sources import standin
     path = scratch_path(spark, "claims")
     standin.claims(Tables(spark, SF_SMALL)).write.parquet(path)
-    narrow = S.CLAIMS  # full schema; prune through two explodes by selecting
+    narrow = S.narrow_claims(["id_siniestro"], ["id_pre_liquidacion_siniestro"], ["nom_medico"])
     df = spark.read.schema(narrow).parquet(path)
-    ev = op.explode_path(df.select("id_siniestro", "atencion_salud"),
-                         [("atencion_salud", "a"), ("a.procedimiento_salud", "p")])
-    plan = plan_of(ev.select("id_siniestro", F.col("p.nom_medico")))
-    assert "ReadSchema: struct<id_siniestro:string,atencion_salud:array<struct<" in plan
-    assert "des_estado_siniestro_origen" not in plan.split("ReadSchema:")[1].split("\n")[0]
+    ev = op.explode_path(df, [("atencion_salud", "a"), ("a.procedimiento_salud", "p")])
+    out = ev.select("id_siniestro", F.col("a.id_pre_liquidacion_siniestro").alias("pre"),
+                    F.col("p.nom_medico").alias("doc"))
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        read_schema = plan_of(out).split("ReadSchema: ")[1].split("\n")[0]
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+    assert read_schema == ("struct<id_siniestro:string,atencion_salud:array<struct<id_pre_liquidacion_siniestro:"
+                           "string,procedimiento_salud:array<struct<nom_medico:string>>>>>")
+    full = spark.read.parquet(path)
+    want = op.explode_path(full, [("atencion_salud", "a"), ("a.procedimiento_salud", "p")]).select(
+        "id_siniestro", F.col("a.id_pre_liquidacion_siniestro").alias("pre"), F.col("p.nom_medico").alias("doc"))
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
