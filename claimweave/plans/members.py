@@ -24,6 +24,10 @@ from claimweave.sources.sinks import stage as stage_table
 MEMBER = "id_persona_afiliado"
 DX = "num_diagnostico_origen"
 
+# Nested claim fields this job reads: (claim, care event, procedure).
+CLAIM_FIELDS = (["periodo", "id_siniestro", MEMBER, "fec_hora_ocurrencia"],
+                [DX, "id_cobertura_origen"], [])
+
 
 @dataclass(frozen=True)
 class MembersInputs:

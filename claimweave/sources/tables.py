@@ -37,3 +37,11 @@ class Tables:
             self._scans[key] = reader.parquet(self.path(name))
         return self._scans[key]
 
+
+
+def read_claims(spark: SparkSession, path: str, fields: tuple[list[str], list[str], list[str]]) -> DataFrame:
+    """Read a nested claims table with only the (claim, event, procedure)
+    fields a job uses (each job module exports its ``CLAIM_FIELDS``)."""
+    from claimweave.sources.schemas import narrow_claims
+
+    return spark.read.schema(narrow_claims(*fields)).parquet(path)
