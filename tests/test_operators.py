@@ -142,3 +142,20 @@ def test_rank_desc_split_equals_window_with_a_hot_key(spark):
     want = {(r["k"], r["id"]): r["r"] for r in op.rank_desc(df, ["k"], ["ts", "id"]).collect()}
     got = {(r["k"], r["id"]): r["r"] for r in op.rank_desc_split(df, ["k"], ["ts", "id"], partitions=8).collect()}
     assert got == want
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_vals = st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=8)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(left=_vals, right=_vals)
+def test_not_in_and_semi_in_random(spark, left, right):
+    ldf = spark.createDataFrame([(i, x) for i, x in enumerate(left)], "i long, k long")
+    rdf = spark.createDataFrame([(x,) for x in right], "v long")
+    got = sorted(r["i"] for r in op.not_in(ldf, "k", rdf, "v").collect())
+    assert got == [i for i, x in enumerate(left) if py_not_in(x, right) is True]
+    got_in = sorted(r["i"] for r in op.semi_in(ldf, "k", rdf, "v").collect())
+    assert got_in == [i for i, x in enumerate(left) if x is not None and x in right]
