@@ -8,6 +8,7 @@ from claimweave.operators.aggs import (aligned_lists, count_distinct_by, first_p
                                        ordered_list, repeat_flag)
 from claimweave.operators.windows import latest_per_key, latest_value_per_key, rank_desc, rank_desc_split
 from claimweave.operators.sets import both_feeds, union_all
+from claimweave.operators.rows import mask, require_not_null
 
 __all__ = [
     "explode_rows", "explode_path", "keep_elements",
@@ -16,4 +17,5 @@ __all__ = [
     "aligned_lists", "count_distinct_by", "first_pair", "list_of_pairs", "ordered_list", "repeat_flag",
     "latest_per_key", "latest_value_per_key", "rank_desc", "rank_desc_split",
     "both_feeds", "union_all",
+    "mask", "require_not_null",
 ]

@@ -175,13 +175,18 @@ SELECT c_custkey AS numero_afiliado, '.' AS nom_corto, '.' AS apellidos,
 FROM customer
 """)
 def mask_members(t: Tables) -> DataFrame:
-    c = t.t("customer")
-    return c.select(
-        F.col("c_custkey").alias("numero_afiliado"), F.lit(".").alias("nom_corto"), F.lit(".").alias("apellidos"),
-        F.col("c_custkey").cast("string").alias("ruc"), F.col("c_custkey").cast("string").alias("num_documento"),
+    c = t.t("customer").select(
+        F.col("c_custkey").alias("numero_afiliado"), F.col("c_name").alias("nom_corto"),
+        F.col("c_mktsegment").alias("apellidos"), F.lit(None).cast("string").alias("ruc"),
+        F.lit(None).cast("string").alias("num_documento"),
         F.coalesce(F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")), F.lit(0.0)).alias("acctbal"),
         F.coalesce(F.when(F.col("c_nationkey") < 20, F.col("c_nationkey")), F.lit(999999))
         .cast("bigint").alias("cod_departamento"))
+    masked = op.mask(c, constants={"nom_corto": ".", "apellidos": "."},
+                     copies={"ruc": "numero_afiliado", "num_documento": "numero_afiliado"})
+    return masked.select("numero_afiliado", "nom_corto", "apellidos", F.col("ruc").cast("string").alias("ruc"),
+                         F.col("num_documento").cast("string").alias("num_documento"), "acctbal",
+                         "cod_departamento")
 
 
 @query("derived_then_filter", "B6 B7 S30", """
@@ -235,7 +240,7 @@ WHERE k = k + 0
 """)
 def not_null_self_eq(t: Tables) -> DataFrame:
     o = t.t("orders").select("o_orderkey", _null_when_low("o_custkey").alias("k"))
-    return o.dropna(subset=["k"])
+    return op.require_not_null(o, "k")
 
 
 @query("lexical_money_compare", "C10 S34", """

@@ -247,18 +247,18 @@ def members_extract(inp: MembersInputs, p: MembersParams, stage: Stager | None =
         F.col("dia_cronicos_regla_negocio_adicional").alias("dx_cronicos_relacionados"),
         F.col("fecha_antiguedad_dx").alias("fecha_antiguedad_dx_afiliado")).distinct()
     # ``finn``: masking and sentinels, no DISTINCT (masking may create duplicates).
-    return tabla.select(
+    finn = tabla.select(
         "codigo_entidad", "descripcion", "numero_afiliado", "periodo_afiliacion", "fecha_de_alta",
-        F.col("fecha_de_baja").cast("timestamp_ntz").alias("fecha_de_baja"),
-        F.lit(".").alias("nom_corto"), F.lit(".").alias("apellidos"),
-        F.col("numero_afiliado").alias("ruc"), F.col("numero_afiliado").alias("num_documento"),
-        "fecha_nacimiento", "des_sexo_afiliado",
+        F.col("fecha_de_baja").cast("timestamp_ntz").alias("fecha_de_baja"), "nom_corto", "apellidos", "ruc",
+        "num_documento", "fecha_nacimiento", "des_sexo_afiliado",
         F.coalesce("cod_departamento", F.lit(DEFAULT_PLACE_CODE).cast("bigint")).alias("cod_departamento"),
         "des_departamento_gestion_servicio_asegurado",
         F.coalesce("cod_provincia", F.lit(DEFAULT_PLACE_CODE).cast("bigint")).alias("cod_provincia"),
         "des_provincia_gestion_servicio_asegurado", "id_poliza", "num_poliza", "TIPO_AFILIACION",
         F.coalesce("mnt_prima_neta_inducida_afiliado_sol", F.lit(0.0)).alias("mnt_prima_neta_inducida_afiliado_sol"),
         "dx_cronicos_relacionados", "fecha_antiguedad_dx_afiliado")
+    return op.mask(finn, constants={"nom_corto": ".", "apellidos": "."},
+                   copies={"ruc": "numero_afiliado", "num_documento": "numero_afiliado"})
 
 
 def members_count(inp: MembersInputs, p: MembersParams, stage: Stager | None = stage_table) -> DataFrame:
