@@ -47,7 +47,9 @@ def not_in(df: DataFrame, key, keys_df: DataFrame, keys_col=None) -> DataFrame:
     anti join itself is an ordinary ``left_anti`` that may sort-merge.
     """
     keys_col = keys_col if keys_col is not None else key
-    ks = _key_set(keys_df, keys_col)
+    # One de-duplicated key set (NULL kept as one row) feeds both the state
+    # and the anti join, so its exchange is planned once and reused.
+    ks = _key_set(keys_df, keys_col).distinct()
     state = ks.select(
         F.when(F.count(F.lit(1)) == 0, F.lit(2))
         .when(F.count_if(F.col(_K).isNull()) == 0, F.lit(1))
@@ -55,7 +57,7 @@ def not_in(df: DataFrame, key, keys_df: DataFrame, keys_col=None) -> DataFrame:
     ).scalar()
     k = as_col(key)
     kept = df.where((state == 2) | ((state == 1) & k.isNotNull()))
-    present = ks.where(F.col(_K).isNotNull()).distinct()
+    present = ks.where(F.col(_K).isNotNull())
     return kept.join(present, k == F.col(_K), "left_anti")
 
 
