@@ -40,7 +40,7 @@ def main() -> int:
             print(f"ROWS {name}: {got.num_rows} rows ({dt:.1f}s, no oracle)")
             continue
         try:
-            exp = con.execute(sql).to_arrow_table()
+            exp = con.sql(sql).to_arrow_table()
         except Exception as e:  # noqa: BLE001
             print(f"FAIL {name}: duckdb error {str(e).splitlines()[0][:300]}")
             bad += 1

@@ -24,7 +24,7 @@ def con():
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_oracle(spark, con, name):
     got = entry.queries()[name](spark, SF).toArrow()
-    want = con.execute(SQL[name]).to_arrow_table()
+    want = con.sql(SQL[name]).to_arrow_table()
     assert compare(got, want) == []
 
 
