@@ -17,11 +17,18 @@ from pyspark.sql.types import StructType
 
 def _shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            sc = spark.sparkContext
+            root = sc.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - e.g. a remote session without a local context
+            sc = None
     if not root:
+        # Local runs and tests only: nothing names a shared folder.
         root = tempfile.mkdtemp(prefix="claimweave-ckpt-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

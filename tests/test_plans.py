@@ -86,3 +86,20 @@ def test_narrow_schema_prunes_nested_fields(spark):
     want = op.explode_path(full, [("atencion_salud", "a"), ("a.procedimiento_salud", "p")]).select(
         "id_siniestro", F.col("a.id_pre_liquidacion_siniestro").alias("pre"), F.col("p.nom_medico").alias("doc"))
     assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_list_aggregation_combines_map_side(spark):
+    """A hot group reaches the shuffle as (value, count) pairs, not as raw rows."""
+    df = Tables(spark, SF_SMALL).t("lineitem")
+    plan = plan_of(op.ordered_list(df, ["l_suppkey"], "l_returnflag", ","))
+    # the (group, value) count runs partially before its exchange
+    assert "functions=[partial_count(1)]" in plan
+    first_exchange = plan.index("Exchange hashpartitioning")
+    assert plan.index("partial_count(1)") > first_exchange  # printed below (i.e. upstream of) an exchange
+
+
+def test_latest_per_key_is_an_aggregate_not_a_window(spark):
+    df = Tables(spark, SF_SMALL).t("orders")
+    plan = plan_of(op.latest_per_key(df.select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"],
+                                     ["o_orderdate", "o_orderkey"]))
+    assert "Window" not in plan and "partial_max_by" in plan
