@@ -27,12 +27,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("CLAIMWEAVE_DRIVER_MEM", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    # Tests and local runs only: a scratch checkpoint folder when none is given.
-    # On a cluster spark.checkpoint.dir names the shared folder and is left alone.
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        builder = builder.config("spark.checkpoint.dir",
-                                 tempfile.mkdtemp(prefix="claimweave-ckpt-", dir="/tmp"))
-    for k, v in (extra or {}).items():
+    extra = dict(extra or {})
+    # Local sessions only: a scratch checkpoint folder unless one is passed in.
+    # On a cluster the platform's session names the shared folder; this
+    # function is not used there.
+    extra.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="claimweave-ckpt-", dir="/tmp"))
+    for k, v in extra.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
