@@ -66,10 +66,15 @@ def claim_events(claims: DataFrame, p: MembersParams, stage: Stager | None = sta
     return stage(flat, "member_claim_events") if stage else flat
 
 
-def claim_diagnoses(events: DataFrame, p: MembersParams) -> DataFrame:
-    """M1.2 ``siniestros``: distinct (claim, member, diagnosis, cover) in the window."""
-    return events.where(_in_window(p)).select(
-        "fec_hora_ocurrencia", "id_siniestro", MEMBER, DX, "id_cobertura_origen").distinct()
+def claim_diagnoses(events: DataFrame, p: MembersParams, distinct: bool = True) -> DataFrame:
+    """M1.2 ``siniestros``: distinct (claim, member, diagnosis, cover) in the window.
+
+    ``distinct=False`` skips the DISTINCT where the only consumer is a
+    distinct count of claims, which duplicates cannot change.
+    """
+    rows = events.where(_in_window(p)).select(
+        "fec_hora_ocurrencia", "id_siniestro", MEMBER, DX, "id_cobertura_origen")
+    return rows.distinct() if distinct else rows
 
 
 def chronic_claims(claim_dx: DataFrame, dx_groups: DataFrame, p: MembersParams) -> DataFrame:
@@ -102,7 +107,8 @@ def repeat_condition_members(inp: MembersInputs, p: MembersParams,
                              stage: Stager | None = stage_table) -> DataFrame:
     """Members with one chronic diagnosis on >= 2 claims, with first dates (M1.2-M1.8)."""
     events = claim_events(inp.claims, p, stage)
-    base0 = chronic_claims(claim_diagnoses(events, p), inp.dx_groups, p)
+    # The claims DISTINCT of M1.2 only feeds COUNT(DISTINCT claim): skipped.
+    base0 = chronic_claims(claim_diagnoses(events, p, distinct=False), inp.dx_groups, p)
     return chronic_lists(repeated_conditions(base0, p), first_diagnosis_dates(events, p))
 
 
