@@ -159,3 +159,11 @@ def test_not_in_and_semi_in_random(spark, left, right):
     assert got == [i for i, x in enumerate(left) if py_not_in(x, right) is True]
     got_in = sorted(r["i"] for r in op.semi_in(ldf, "k", rdf, "v").collect())
     assert got_in == [i for i, x in enumerate(left) if x is not None and x in right]
+
+
+def test_latest_snapshot_before_any_snapshot_matches_nothing(spark):
+    snaps = spark.createDataFrame([(dt.date(2024, 3, 1), "a"), (dt.date(2024, 4, 1), "b")], "periodo date, v string")
+    right = snaps.where(F.col("periodo") == op.latest_snapshot(snaps, "2020-01-01"))
+    left = spark.createDataFrame([("a",), ("b",)], "v string")
+    j = left.join(right.withColumnRenamed("v", "rv"), F.col("v") == F.col("rv"), "left")
+    assert sorted((r["v"], r["periodo"]) for r in j.collect()) == [("a", None), ("b", None)]
