@@ -7,9 +7,5 @@ __all__ = ["REGISTRY", "Query", "runner", "load_catalog"]
 
 def load_catalog() -> dict[str, Query]:
     """Import every module that registers queries, then return the registry."""
-    from claimweave.plans import catalog  # noqa: F401
-    try:
-        from claimweave.plans import extract_queries  # noqa: F401
-    except ImportError:
-        pass
+    from claimweave.plans import catalog, extract_queries  # noqa: F401
     return REGISTRY

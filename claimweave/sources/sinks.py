@@ -1,8 +1,9 @@
 """Table and file sinks, plus the scratch folder used for written stages.
 
 Written stages go below the shared folder named by ``spark.checkpoint.dir``
-(visible to every executor). Only when it is unset - local tests - a folder
-under /tmp is created and registered as the checkpoint dir.
+(visible to every executor). Where it is unset, a ``local`` master gets a
+folder under /tmp; any other master is an error, since its executors would
+each write to a disk of their own.
 """
 
 from __future__ import annotations
@@ -17,18 +18,15 @@ from pyspark.sql.types import StructType
 
 def _shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
+    if root:
+        return root.rstrip("/")
+    sc = spark.sparkContext
+    root = sc.getCheckpointDir()
     if not root:
-        try:
-            sc = spark.sparkContext
-            root = sc.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - e.g. a remote session without a local context
-            sc = None
-    if not root:
-        # Local runs and tests only: nothing names a shared folder.
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="claimweave-ckpt-", dir="/tmp")
-        if sc is not None:
-            sc.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
