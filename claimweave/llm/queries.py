@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import simhash
+from claimweave.llm import language, simhash
+from claimweave.llm.folds import held_out
+from claimweave.llm.textbatch import bound_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -20,9 +22,19 @@ def _query(fn):
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@_query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 4, 2))
+    model = language.train(docs.filter(~F.col("held_out")))
+    return docs.select("doc_id", "held_out", model.column(F.col("text")).alias("found")).select(
+        "doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score",
+        F.col("found.languages").alias("languages"))
+
+
 @_query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))

@@ -13,8 +13,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import SparkSession
 
 CHUNK = 1 << 20
+BATCH_BYTES = 32 << 20
 #: Longer words are hashed one by one.
 LONG_WORD = 64
 
@@ -99,6 +101,11 @@ class Texts:
         return hash_spans(self.buf, self.start, self.length)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Limit Arrow batches by bytes, so that very long texts don't fill a task's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def to_texts(rows: list[int], texts: list[bytes]) -> Texts:
     raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
