@@ -8,9 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import language, simhash
+from claimweave.llm import language, mixing, simhash
 from claimweave.llm.folds import held_out
 from claimweave.llm.textbatch import bound_batches
+from claimweave.sources.sinks import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -26,6 +27,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@_query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    measured = stage(mixing.measure(docs).withColumn("row", F.struct("row.doc_id")), "measured")
+    mixed = mixing.plan(measured).apply(measured)
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
 @_query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 4, 2))
