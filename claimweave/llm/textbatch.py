@@ -8,7 +8,7 @@ the arrays stay small whatever the batch holds.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
+_SOLID = np.zeros(256, bool)
+_SOLID[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -93,10 +95,29 @@ class Texts:
     def counts(self) -> np.ndarray:
         return np.bincount(self.doc, minlength=self.n)
 
+    def grams(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word hashes, first words of the n-grams within one text, n-gram hashes)."""
+        h = self.hashes()
+        if len(h) < n:
+            return h, np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        last = len(h) - n + 1
+        at = np.flatnonzero(self.doc[:last] == self.doc[n - 1:])
+        return h, at, chain([h[at + k] for k in range(n)])
+
     def firsts(self) -> np.ndarray:
         """The first word of each text, and one past the last text's."""
         return np.concatenate([[0], np.cumsum(self.counts())])
 
+    def trimmed(self) -> Texts:
+        """The same texts with words stripped of ASCII punctuation at both ends;
+        words of nothing else are left out."""
+        solid = _SOLID[self.buf]
+        at, before = np.flatnonzero(solid), np.concatenate([[0], np.cumsum(solid)])
+        lo, hi = before[self.start], before[self.start + self.length]
+        keep = hi > lo
+        start, stop = at[lo[keep]], at[hi[keep] - 1] + 1
+        return replace(self, start=start, length=stop - start, doc=self.doc[keep])
+
     def hashes(self) -> np.ndarray:
         return hash_spans(self.buf, self.start, self.length)
 
