@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import decontaminate, language, mixing, simhash
+from claimweave.llm import decontaminate, language, mixing, simhash, templates
 from claimweave.llm.folds import held_out
 from claimweave.llm.textbatch import bound_batches
 from claimweave.sources.sinks import stage
@@ -40,6 +40,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+@_query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    drop = templates.dropped_lines(docs).withColumnRenamed("doc_id", "id")
+    lines = F.coalesce(F.regexp_count("text", F.lit("\n")) + 1, F.lit(0)).cast("long")
+    every = docs.select("doc_id", lines.alias("n_lines")).join(drop, F.col("doc_id") == F.col("id"), "left")
+    return every.select("doc_id", "n_lines", F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_dropped"),
+                        F.coalesce(F.array_join(F.col("lines").cast("array<string>"), ","), F.lit("")).alias("dropped_lines"))
+
+
 @_query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 4, 2))
