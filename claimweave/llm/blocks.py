@@ -19,9 +19,14 @@ from claimweave.sources.sinks import stage
 
 #: fn(index rows, other rows, whether index rows are compared with each other)
 Compare = Callable[[pa.Table, pa.Table, bool], pa.RecordBatch | None]
+#: fn(rows, i, j): the pairs of rows to compare
+Pairs = Callable[[pa.Table, np.ndarray, np.ndarray], pa.RecordBatch | None]
 #: Up to so many hot keys (24 bytes each) are broadcast, more are shuffled.
 BROADCAST_KEYS = 10_000
 PROBES_AT_ONCE = 4096
+#: Buckets of up to so many rows are compared together, as pairs.
+SMALL_BUCKET = 64
+PAIRS_AT_ONCE = 100_000
 
 
 def deal(index: DataFrame, probe: DataFrame, block_rows: int) -> DataFrame:
@@ -50,8 +55,26 @@ def deal(index: DataFrame, probe: DataFrame, block_rows: int) -> DataFrame:
     return index.union(probe).repartition("key").sortWithinPartitions("key", "role")
 
 
-def compare(dealt: DataFrame, fn: Compare, schema: str) -> DataFrame:
-    """Call ``fn`` for each bucket that has an index row and another row."""
+def _pairs_within(at: np.ndarray, ends: np.ndarray, role: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(index rows, rows after them) within the buckets at:ends, some at a time."""
+    size = ends - at
+    row = np.repeat(at - np.cumsum(size) + size, size) + np.arange(size.sum())
+    bucket = np.repeat(np.arange(len(at)), size)
+    own = np.bincount(bucket, weights=role[row] == 0, minlength=len(at)).astype(np.int64)
+    n = np.minimum(row - at[bucket], own[bucket])
+    cut = np.append(np.flatnonzero(np.diff(np.cumsum(n) // PAIRS_AT_ONCE, prepend=0)), len(n))
+    lo = 0
+    for hi in cut:
+        part, k = slice(lo, hi), n[lo:hi]
+        if k.sum():
+            j = np.repeat(row[part], k)
+            yield np.repeat(at[bucket[part]] - np.cumsum(k) + k, k) + np.arange(k.sum()), j
+        lo = hi
+
+
+def compare(dealt: DataFrame, fn: Compare, schema: str, pairs: Pairs | None = None) -> DataFrame:
+    """Call ``fn`` for each bucket that has an index row and another row; or
+    ``pairs``, if given, for the small buckets of a batch together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry, fresh = None, True
@@ -64,7 +87,16 @@ def compare(dealt: DataFrame, fn: Compare, schema: str) -> DataFrame:
             at = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
             ends = np.append(at[1:], len(key))
             done = np.arange(len(at) - 1)
-            for g in done[((ends - at)[:-1] >= 2) & (role[at[:-1]] == 0)]:
+            done = done[((ends - at)[:-1] >= 2) & (role[at[:-1]] == 0)]
+            if pairs is not None:
+                small = done[(ends - at)[done] <= SMALL_BUCKET]
+                small = small if fresh else small[small > 0]
+                for i, j in _pairs_within(at[small], ends[small], role):
+                    out = pairs(t, i, j)
+                    if out is not None:
+                        yield out
+                done = np.setdiff1d(done, small)
+            for g in done:
                 out = part(t, role, at[g], ends[g], fresh or g > 0)
                 if out is not None:
                     yield out
