@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import decontaminate, embeddings, language, mixing, simhash, templates
+from claimweave.llm import decontaminate, embeddings, language, mixing, simhash, templates, warc
 from claimweave.llm.folds import held_out
 from claimweave.llm.textbatch import bound_batches
 from claimweave.sources.sinks import stage
@@ -32,6 +32,37 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op4_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = warc.archive_and_index(_table(spark, sf_dir, "pages"))
+    return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "position")
+
+
+_PART = "('0x' || substr(hex, {at}, 5))::INTEGER"
+_DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (({part} >> {shift}) & 31), 1)"
+_BASE32 = " || ".join(_DIGIT.format(part=_PART.format(at=at), shift=shift)
+                      for at in range(1, 41, 5) for shift in (15, 10, 5, 0))
+ORACLE_SQL["op4_warc_index_merge"] = f"""
+WITH page AS (
+    SELECT page_id, coalesce(html, '') AS payload, upper(sha1(coalesce(html, ''))) AS hex,
+           regexp_replace(regexp_replace(lower(coalesce(url, '')), '^[a-z][a-z0-9+.-]*://', ''), '#.*$', '') AS rest
+    FROM pages
+), digested AS (
+    SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+           array_to_string(list_reverse(string_split(split_part(rest, '/', 1), '.')), ',') || ')'
+               || substr(rest, length(split_part(rest, '/', 1)) + 1) AS url_key
+    FROM page
+), first AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM digested
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to,
+       row_number() OVER (ORDER BY url_key, {warc.EPOCH} + page_id % 100000000, page_id) - 1 AS position
+FROM first
+"""
+
+
 @_query
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
