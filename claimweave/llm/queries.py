@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import decontaminate, embeddings, language, mixing, simhash, templates, warc
-from claimweave.llm.folds import held_out
+from claimweave.llm import decontaminate, embeddings, language, mixing, simhash, templates, toxicity, warc
+from claimweave.llm.folds import held_out, labelled
 from claimweave.llm.textbatch import bound_batches
 from claimweave.sources.sinks import stage
 
@@ -32,6 +32,15 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = toxicity.train(labelled(docs, labels, "toxic", ["text"], ~held_out("doc_id", 5, 0)))
+    scored = docs.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), model.column(F.col("text")).alias("found"))
+    return scored.select("doc_id", "held_out", "found.score", (F.col("found.score") >= 0.5).cast("int").alias("predicted"),
+                         F.size("found.passages").alias("n_passages"))
+
+
 @_query
 def op4_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = warc.archive_and_index(_table(spark, sf_dir, "pages"))
