@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import decontaminate, embeddings, language, mixing, simhash, templates, toxicity, warc
+from claimweave.llm import decontaminate, embeddings, language, mixing, quality, secrets, simhash, templates, toxicity, warc
 from claimweave.llm.folds import held_out, labelled
 from claimweave.llm.textbatch import bound_batches
 from claimweave.sources.sinks import stage
@@ -27,6 +27,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@_query
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.train(secrets.samples(docs)))
+    sizes = [F.size(F.col("fixed")[k]).cast("long").alias(f"n_{name}") for k, name in enumerate(("assign", "access", "hex"))]
+    base = F.flatten("fixed")
+    return found.select("row.doc_id", *sizes, F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+                        secrets.listed(F.concat(base, "markov")).alias("spans"))
+
+
 @_query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -96,6 +106,16 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce(F.array_join(F.col("lines").cast("array<string>"), ","), F.lit("")).alias("dropped_lines"))
 
 
+@_query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    model = quality.train(labelled(docs, labels, "quality", ["text", "n_chars"], ~held_out("doc_id", 5, 0),
+                                   most=quality.MOST_TRAINED))
+    scored = docs.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"),
+                         model.column(F.col("text"), F.col("n_chars")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @_query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", held_out("doc_id", 4, 2))
