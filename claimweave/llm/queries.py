@@ -96,6 +96,42 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+ORACLE_SQL["op6_mixing"] = r"""
+WITH measured AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           md5('7:' || coalesce(doc_id::VARCHAR, '')) AS place
+    FROM documents
+), sized AS (
+    SELECT source, sum(size)::BIGINT AS source_size FROM measured GROUP BY source
+), weighted AS (
+    SELECT *, [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight,
+           source_size * 2.0::DOUBLE AS cap FROM sized
+), stepped AS (  -- sources in the order in which rising water reaches their caps
+    SELECT *, (SELECT 1.5::DOUBLE * sum(source_size) FROM sized)
+                  - coalesce(sum(cap) OVER (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+           sum(weight) OVER (ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS open,
+           row_number() OVER (ORDER BY cap / weight, source) AS step
+    FROM weighted
+), water AS (  -- the first that stays below its cap
+    SELECT arg_min(rest / open, step) FILTER (WHERE cap >= rest / open * weight) AS level FROM stepped
+), target AS (
+    SELECT source, source_size, CASE WHEN level * weight > cap THEN cap ELSE level * weight END AS target
+    FROM weighted, water
+), epochs AS (
+    SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM target
+), quota AS (
+    SELECT *, round(target - whole * source_size)::BIGINT AS part FROM epochs
+), ordered AS (
+    SELECT m.doc_id, m.size, q.source_size, q.target, q.whole, q.part,
+           sum(m.size) OVER (PARTITION BY m.source ORDER BY m.place, m.size ROWS UNBOUNDED PRECEDING) - m.size AS before
+    FROM measured m JOIN quota q ON m.source IS NOT DISTINCT FROM q.source
+)
+SELECT doc_id, size, source_size, target,
+       (whole * size + greatest(0, least(size, part - before)))::BIGINT AS taken
+FROM ordered
+"""
+
+
 @_query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
