@@ -1,8 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
 
 A first pass counts in how many documents each word n-gram of the benchmark
-occurs. The rare ones of an item (at most its median count, or at most
-``RARE_SHARE`` of the documents) are its seeds. A second pass aligns the words
+occurs. The rare ones of an item are its seeds: n-grams in at most ``RARE_DOCS``
+documents or ``RARE_SHARE`` of them, or in at most ``RARE_FACTOR`` times as many
+as the item's median n-gram, so that an item's own copies don't make it common. A second pass aligns the words
 around each seed that a document shares with an item, by Smith-Waterman over
 words; an item whose best alignment reaches ``least`` of the score of a full
 copy contaminates the document, be the copy exact, edited or paraphrased. Both
@@ -30,7 +31,7 @@ from claimweave.llm.ordering import positions
 from claimweave.llm.textbatch import Texts, runs, to_texts
 
 SEED_WORDS = 3
-RARE_SHARE = 0.001
+RARE_DOCS, RARE_SHARE, RARE_FACTOR = 100, 0.001, 4
 LEAST = 0.6
 MATCH, MISMATCH, GAP = 2, -1, 1
 #: Items that one pass takes (the driver and each task hold them).
@@ -70,7 +71,7 @@ class Seeds:
         count = np.repeat(docs_with, np.diff(self.first))
         most = np.zeros(len(self.ids))
         for i in np.unique(self.item):
-            most[i] = max(np.median(count[self.item == i]), RARE_SHARE * docs)
+            most[i] = max(RARE_FACTOR * np.median(count[self.item == i]), RARE_SHARE * docs, RARE_DOCS)
         keep = count <= most[self.item]
         gram = np.repeat(np.arange(len(self.grams)), np.diff(self.first))[keep]
         own, first = np.unique(gram, return_index=True)

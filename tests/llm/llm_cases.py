@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, fp string, key int, component_id bigint"
 
 PROSE = ("the quick brown fox jumps over the lazy dog while seven wizards quietly brew a potion of violet fog "
@@ -10,7 +12,8 @@ PROSE = ("the quick brown fox jumps over the lazy dog while seven wizards quietl
 
 def prose(k: int, n: int = 24) -> str:
     """A line of n words, different for each k."""
-    return " ".join(f"{PROSE[(k * 7 + i * (k % 5 + 1)) % len(PROSE)]}{'abcdefghij'[(k + i) % 10]}" for i in range(n))
+    rng = random.Random(k)
+    return " ".join(rng.choice(PROSE) + rng.choice("abcdefghij") for _ in range(n))
 
 
 def doc(i, text, lang="en", source="s0", n_chars=0):

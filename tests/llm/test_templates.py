@@ -1,0 +1,84 @@
+from collections import defaultdict
+
+import numpy as np
+from llm_cases import awkward, doc, frame, prose
+
+from claimweave.llm import templates
+from claimweave.llm.blocks import roots
+
+
+def words_of(line):
+    return ["<*>" if any("0" <= c <= "9" for c in w) else w.lower() for w in line.split()]
+
+
+def brute(rows, least_docs=2):
+    """Lines to drop by comparing all lines of a leaf with each other."""
+    lines = [(d, n, words_of(t)) for d, text in rows if d is not None and text for n, t in enumerate(text.split("\n"))]
+    lines = [x for x in lines if len(x[2]) >= 3]
+    a, b = [], []
+    for i, (_, _, x) in enumerate(lines):
+        for j in range(i):
+            y = lines[j][2]
+            if len(x) == len(y) and x[:3] == y[:3] and sum(p == q for p, q in zip(x, y)) >= 0.8 * len(x):
+                a.append(i)
+                b.append(j)
+    groups = defaultdict(list)
+    for k, r in enumerate(roots(len(lines), np.array(a, int), np.array(b, int))):
+        groups[r].append(lines[k][:2])
+    out = defaultdict(set)
+    for group in groups.values():
+        if len({d for d, _ in group}) >= least_docs:
+            for x in sorted(group)[1:]:
+                out[x[0]].add(x[1])
+    return {d: sorted(n) for d, n in out.items()}
+
+
+def dropped(spark, rows, **kw):
+    return {r["doc_id"]: r["lines"] for r in templates.dropped_lines(frame(spark, rows), **kw).collect()}
+
+
+def test_templates_with_variable_fields(spark):
+    rows = [doc(1, f"Page 1 of 20\n{prose(1)}\nposted on monday by anna smith in the news section today ok"),
+            doc(2, f"{prose(2)}\nPage 7 of 31\nposted on monday by carl smith in the news section today ok"),
+            doc(3, f"page 9 of 11\nposted on monday by anna jones in the news section today ok\n\n{prose(3)}"),
+            doc(4, f"{prose(4)}\n{prose(4)}\nnext page")]
+    got = dropped(spark, rows)
+    assert got == {2: [1, 2], 3: [0, 1]} == brute([r[:2] for r in rows])
+
+
+def test_first_document_keeps_it_once(spark):
+    line = prose(8)
+    assert dropped(spark, [doc(5, f"{line}\n{line}"), doc(9, line)]) == {5: [1], 9: [0]}
+
+
+def test_awkward_rows_and_random_lines(spark):
+    rng = np.random.default_rng(2)
+    rows = awkward() + [doc(20 + k, "\n".join(prose(int(rng.integers(0, 30)), int(rng.integers(1, 12))) for _ in range(12)))
+                        for k in range(25)]
+    assert dropped(spark, rows) == brute([r[:2] for r in dict.fromkeys(rows)])
+    assert dropped(spark, []) == {}
+
+
+def test_hot_leaf_in_blocks(spark):
+    head = "one two three"
+    rows = [doc(k, f"{head} {chr(97 + k % 26)}{k // 26} " + " ".join(chr(97 + k // 5 % 7) * 3 for _ in range(9))) for k in range(80)]
+    df = frame(spark, rows)
+    small = {(r["sig"], r["template"], r["docs"]) for r in templates.recurring(df, block_rows=7).collect()}
+    large = {(r["sig"], r["template"], r["docs"]) for r in templates.recurring(df).collect()}
+    assert small == large
+    assert dropped(spark, rows) == brute([r[:2] for r in rows])
+
+
+def test_without(spark):
+    df = spark.createDataFrame([("a\nb\n\nc", [0, 2]), ("a", None), ("a\nb", [0, 1])], "t string, l array<bigint>")
+    got = [r[0] for r in df.select(templates.without(df["t"], df["l"])).collect()]
+    assert got == ["b\nc", "a", ""]
+
+
+def test_query_equals_brute_force(spark):
+    from claimweave.llm.queries import QUERIES
+    got = QUERIES["op7_line_dedup"](spark, "/root/testdata/sf0.001").collect()
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    want = brute(rows)
+    assert {r["doc_id"]: [int(x) for x in r["dropped_lines"].split(",") if x] for r in got} == {d: want.get(d, []) for d, _ in rows}
+    assert {r["doc_id"]: r["n_lines"] for r in got} == {d: t.count("\n") + 1 for d, t in rows}
