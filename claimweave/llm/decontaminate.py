@@ -32,7 +32,7 @@ from claimweave.llm.textbatch import Texts, runs, to_texts
 
 SEED_WORDS = 3
 RARE_DOCS, RARE_SHARE, RARE_FACTOR = 100, 0.001, 4
-LEAST = 0.6
+LEAST = 0.5
 MATCH, MISMATCH, GAP = 2, -1, 1
 #: Items that one pass takes (the driver and each task hold them).
 BLOCK_ITEMS = 20_000
