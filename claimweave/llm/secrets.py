@@ -36,9 +36,10 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 #: Ordinary samples are tokens of this form in texts without a fixed-pattern match.
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{12,}"
-#: Log-odds against a token that isn't secret: about one in 3,000,000.
-LEAST_RATIO = 15.0
-SMOOTHING = 0.5
+#: Log ratio that a span needs, far above what mixed-case identifiers reach (about 15).
+LEAST_RATIO = 25.0
+#: Characters that smoothing adds to each state.
+SMOOTHING = 10.0
 _STATES = len(ALPHABET) + 1
 SPAN = "struct<start: bigint, kind: int, end: bigint>"
 _NONE = f"array<{SPAN}>"
@@ -46,7 +47,8 @@ _NONE = f"array<{SPAN}>"
 
 def _codes(token: Column) -> Column:
     """Characters as 1.. in the alphabet."""
-    return F.transform(F.split(token, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    characters = F.filter(F.split(token, ""), lambda c: c != "")
+    return F.transform(characters, lambda c: F.instr(F.lit(ALPHABET), c))
 
 
 def samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -89,9 +91,12 @@ def train(samples: DataFrame, smoothing: float = SMOOTHING) -> SecretModel:
     counts = {(r["random"], r["pair"]): r["count"] for r in rows.collect()}
 
     def log_p(random: bool) -> list[float]:
+        """A state's transitions, smoothed by how frequent characters are at all."""
+        single = [sum(counts.get((random, s * _STATES + c), 0) for s in range(_STATES)) + (0.5 if c else 0.0)
+                  for c in range(_STATES)]
         out = []
         for state in range(_STATES):
-            n = [counts.get((random, state * _STATES + c), 0) + (smoothing if c else 0.0) for c in range(_STATES)]
+            n = [counts.get((random, state * _STATES + c), 0) + smoothing * single[c] / sum(single) for c in range(_STATES)]
             out += [math.log(x / sum(n)) if x else 0.0 for x in n]
         return out
 

@@ -1,0 +1,98 @@
+import re
+
+import corpus_pipeline as pipeline
+import pytest
+from llm_cases import awkward, doc, frame, prose, write
+from test_decontaminate import brute_score
+from test_language import french
+from test_mixing import check
+from test_simhash import brute_components, brute_fingerprint
+from test_templates import brute as brute_lines
+
+BENCH = [(1, prose(7001, 30)), (2, prose(7002, 30))]
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """Input and output of each stage on a small corpus with all kinds of documents."""
+    shared = prose(50, 60)
+    rows = [doc(k, prose(100 + k, 40) + "\n" + prose(200 + k, 30), source=f"s{k % 3}") for k in range(20)]
+    rows += [doc(20 + k, french(k) + f" numéro{k}", "fr", "s1") for k in range(6)]
+    rows += [doc(30 + k, f"{prose(300 + k, 30)}\n{shared}", source="s2") for k in range(4)]
+    rows += [doc(40, rows[0][1]), doc(41, " ".join(prose(k, 30) for k in range(20)), source=None),
+             doc(42, " ".join(prose(k, 30) for k in range(20)).replace("\n", " ") + " end", source=None),
+             doc(43, prose(61, 20) + " " + BENCH[0][1]), doc(44, "12 34"), doc(45, None), doc(46, "")]
+    bench = spark.createDataFrame(BENCH, "item_id bigint, text string")
+    sf = write(spark, tmp_path_factory.mktemp("sf"), documents=frame(spark, rows), benchmark=bench)
+    docs, out = spark.read.parquet(f"{sf}/documents.parquet"), []
+    for k, (name, step) in enumerate(pipeline.STAGES):
+        after = step(spark, docs, sf)
+        after.write.parquet(f"{sf}/stage{k}")
+        docs, before = spark.read.parquet(f"{sf}/stage{k}"), docs
+        out.append((name, before.collect(), docs.collect(), docs.columns))
+    return sf, out
+
+
+def test_columns_and_order(stages):
+    _, out = stages
+    assert [n for n, *_ in out] == ["language ID", "line dedup", "SimHash near-dedup", "benchmark decontamination",
+                                    "mixing sources to target weights"]
+    for name, _, _, columns in out[:-1]:
+        assert tuple(columns) == pipeline.COLUMNS, name
+
+
+def test_language_stage(stages):
+    _, before, after, _ = stages[1][0]
+    lettered = {r["doc_id"] for r in before if re.search("[a-z]", r["text"] or "")}
+    assert {r["doc_id"] for r in after} == lettered
+    assert {r["doc_id"] for r in before} - lettered == {44, 45, 46}
+
+
+def test_line_stage(stages):
+    _, before, after, _ = stages[1][1]
+    drop = brute_lines([(r["doc_id"], r["text"]) for r in before])
+    want = {}
+    for r in before:
+        lines = [x for n, x in enumerate(r["text"].split("\n")) if n not in drop.get(r["doc_id"], [])]
+        if r["doc_id"] not in drop or "".join(lines).strip():
+            want[r["doc_id"]] = "\n".join(lines)
+    assert {r["doc_id"]: r["text"] for r in after} == want
+    assert 40 not in want and all(r["n_chars"] == len(r["text"]) for r in after)
+
+
+def test_near_copy_stage(stages):
+    _, before, after, _ = stages[1][2]
+    ids, fps = [r["doc_id"] for r in before], [brute_fingerprint(r["text"]) for r in before]
+    assert sorted(r["doc_id"] for r in after) == sorted(set(brute_components(ids, fps)))
+    assert {41, 42} & {r["doc_id"] for r in after} == {41}
+
+
+def test_benchmark_stage(stages):
+    _, before, after, _ = stages[1][3]
+    clean = {r["doc_id"] for r in before if not any(brute_score(t.split(), r["text"].split()) >= 0.5 for _, t in BENCH)}
+    assert {r["doc_id"] for r in after} == clean and 43 not in clean
+
+
+def test_mixing_stage(stages, spark):
+    from claimweave.llm import mixing
+    _, before, after, _ = stages[1][4]
+    rows = [tuple(r) for r in before]
+    measured = mixing.measure(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint"))
+    got = mixing.plan(measured).apply(measured).select("row.doc_id", "row.source", "size", "source_size", "target", "taken").collect()
+    check(rows, got)
+    assert {r["doc_id"]: r["taken"] for r in after} == {r["doc_id"]: r["taken"] for r in got if r["taken"]}
+
+
+def test_run_equals_stages(stages, spark):
+    sf, out = stages
+    assert sorted(map(tuple, pipeline.run(spark, sf).collect()), key=str) == sorted(map(tuple, out[-1][2]), key=str)
+
+
+def test_awkward_and_empty_tables(spark, tmp_path):
+    bench = spark.createDataFrame(BENCH, "item_id bigint, text string")
+    sf = write(spark, tmp_path / "a", documents=frame(spark, awkward()), benchmark=bench)
+    got = pipeline.run(spark, sf).collect()
+    assert all(r["doc_id"] not in (2, 3, 4, 9) for r in got)
+    assert sum(r["doc_id"] == 5 for r in got) <= 1
+    empty = write(spark, tmp_path / "b", documents=frame(spark, []), benchmark=bench.limit(0))
+    assert pipeline.run(spark, empty).collect() == []
