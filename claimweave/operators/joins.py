@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.functions._col import as_col
+from claimweave.sources.sinks import stage
 
 _K = "__key"
 
@@ -47,9 +48,9 @@ def not_in(df: DataFrame, key, keys_df: DataFrame, keys_col=None) -> DataFrame:
     anti join itself is an ordinary ``left_anti`` that may sort-merge.
     """
     keys_col = keys_col if keys_col is not None else key
-    # One de-duplicated key set (NULL kept as one row) feeds both the state
-    # and the anti join, so its exchange is planned once and reused.
-    ks = _key_set(keys_df, keys_col).distinct()
+    # One de-duplicated key set (NULL kept as one row), written once, feeds
+    # both the state and the anti join.
+    ks = stage(_key_set(keys_df, keys_col).distinct(), "not_in_keys")
     state = ks.select(
         F.when(F.count(F.lit(1)) == 0, F.lit(2))
         .when(F.count_if(F.col(_K).isNull()) == 0, F.lit(1))
@@ -67,35 +68,28 @@ def classify_by_priority(classes: Sequence[tuple[str, DataFrame]], key: str,
 
     ``classes`` is ordered by priority. Class *i* keeps its rows whose ``key``
     is NOT IN the keys *output* by classes ``0..i-1`` (NULL rules of
-    :func:`not_in`). Expanding that recursion gives a closed form that needs
-    only the earlier *candidates*, so the plan stays linear in the number of
-    classes:
-
-    * the claimed set is empty  <=> every earlier candidate set is empty;
-    * it contains a NULL        <=> the first non-empty earlier candidate does
-      (after that, every later class is empty, so nothing else is added);
-    * its non-NULL keys         =   the non-NULL keys of all earlier candidates.
+    :func:`not_in`). All candidates are read once, in one union that is written,
+    and each key's least class follows from one map-side combined aggregate of
+    it, joined back on the key. What NULL keys do is settled by the first classes alone:
+
+    * while no earlier class has a row, the claimed set is empty and NULL keys pass;
+    * a NULL key that has passed empties every later class.
     """
-    out = []
-    earlier: list[DataFrame] = []
-    for i, (label, cand) in enumerate(classes):
-        if not earlier:
-            cur = cand
-        else:
-            tagged = reduce(lambda a, b: a.unionByName(b), earlier)
-            first = F.min(F.struct(F.col("__idx"), F.when(F.col(_K).isNull(), 0).otherwise(1).alias("__nn")))
-            state = tagged.select(
-                F.when(F.count(F.lit(1)) == 0, F.lit(2))
-                .when(first["__nn"] == 0, F.lit(0))
-                .otherwise(F.lit(1))
-            ).scalar()
-            k = F.col(key)
-            present = tagged.where(F.col(_K).isNotNull()).select(_K).distinct()
-            cur = (cand.where((state == 2) | ((state == 1) & k.isNotNull()))
-                   .join(present, k == F.col(_K), "left_anti"))
-        out.append(cur.withColumn(label_col, F.lit(label)))
-        earlier.append(cand.select(F.col(key).alias(_K), F.lit(i).alias("__idx")))
-    return reduce(lambda a, b: a.unionByName(b), out)
+    columns = classes[0][1].columns
+    tagged = [d.select(*columns, F.lit(i).alias("__idx")) for i, (_, d) in enumerate(classes)]
+    every = stage(reduce(DataFrame.unionByName, tagged), "candidates")
+    first = every.groupBy(F.col(key).alias("__claimed")).agg(F.min("__idx").alias("__least"))
+    # The first class with any row passes whole; a NULL key in it ends the chain.
+    opening = first.agg(F.min("__least").alias("open"),
+                        F.min(F.when(F.col("__claimed").isNull(), F.col("__least"))).alias("null"))
+    start = opening.select("open").scalar()
+    closed = opening.select(F.coalesce(F.col("null") == F.col("open"), F.lit(False))).scalar()
+    claimed = first.where(F.col("__claimed").isNotNull())
+    keyed = every.where(F.col(key).isNotNull()).join(
+        claimed, (F.col(key) == F.col("__claimed")) & (F.col("__idx") == F.col("__least")), "left_semi")
+    rows = keyed.unionByName(every.where(F.col(key).isNull() & (F.col("__idx") == start)))
+    label = F.element_at(F.array(*[F.lit(name) for name, _ in classes]), F.col("__idx") + 1)
+    return rows.where((F.col("__idx") == start) | ~closed).withColumn(label_col, label).drop("__idx")
 
 
 def lookup_code(df: DataFrame, dim: DataFrame, name, dim_name: str, dim_code: str,

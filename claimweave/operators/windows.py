@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ def rank_desc(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     before the shuffle (WindowGroupLimit), which also tames a hot key.
     """
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_cols])
-    return df.withColumn(out, F.row_number().over(w))
+    return df.withColumn(out, F.row_number().over(w).cast("bigint"))
 
 
 def rank_desc_split(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], out: str = "r",
@@ -48,9 +50,14 @@ def rank_desc_split(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str
     local = laid.withColumn("__lrn", F.row_number().over(w_local))
     counts = laid.groupBy(*keys, "__pid").agg(F.count(F.lit(1)).alias("__cnt"))
     w_prev = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(w_prev), F.lit(0))).drop("__cnt")
-    j = local.join(offsets, [*keys, "__pid"], "inner")
-    return j.withColumn(out, (F.col("__off") + F.col("__lrn")).cast("int")).drop("__pid", "__lrn", "__off")
+    offsets = counts.select(
+        F.struct(*keys).alias("__slice"), F.col("__pid").alias("__slice_pid"),
+        F.coalesce(F.sum("__cnt").over(w_prev), F.lit(0)).alias("__off"))
+    # A NULL key is a partition of its own, as in a window.
+    same = [F.col(k).eqNullSafe(F.col("__slice")[k]) for k in keys]
+    j = local.join(offsets, reduce(and_, same, F.col("__pid") == F.col("__slice_pid")))
+    ranked = j.withColumn(out, (F.col("__off") + F.col("__lrn")).cast("bigint"))
+    return ranked.drop("__pid", "__lrn", "__off", "__slice", "__slice_pid")
 
 
 def latest_value_per_key(df: DataFrame, keys: Sequence[str], value: str,

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from claimweave import functions as cf
 from claimweave import operators as op
 from claimweave.plans.registry import query
-from claimweave.sources.sinks import read_csv, scratch_path, write_csv, write_table
+from claimweave.sources.sinks import read_csv, scratch_path, stage, write_csv, write_table
 from claimweave.sources.tables import Tables
 
 
@@ -29,17 +29,15 @@ def _month(c: str = "o_orderdate"):
 
 
 def nested_orders(t: Tables) -> DataFrame:
-    """Orders with their lines as ``lines: array<struct>`` (NULL when no line).
+    """Order records with a line as ``lines: array<struct>`` (NULL without a line,
+    empty for returned lines).
 
-    Stand-in for a natively nested claim table; on real data the array is
-    stored, not built.
+    Stand-in for a natively nested claim table, where the array is stored: here
+    each record's array is built from its own columns, so its size is bounded.
     """
-    lines = (t.t("lineitem")
-             .groupBy("l_orderkey")
-             .agg(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                                          "l_returnflag", "l_linestatus", "l_shipdate"))
-                  .alias("lines")))
-    return t.t("orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
+    j = t.t("orders").join(t.t("lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return j.select(*t.t("orders").columns, F.when(F.col("l_orderkey").isNotNull(), F.array(line)).alias("lines"))
 
 
 def _r4(c):
@@ -132,15 +130,23 @@ def write_replace_readback(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
-@query("csv_export_readback", "A8 G2 A9", """
-SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders
+@query("csv_export_readback", "A8 G2 A9", r"""
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' || o_orderpriority || ' '
+            WHEN 3 THEN 'a;b"' || o_orderstatus || '"' WHEN 4 THEN '\"; ' || o_orderpriority WHEN 5 THEN '\N ' || chr(10) || 'x'
+            ELSE o_orderpriority END AS note
+FROM orders
 """)
 def csv_export_readback(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "export")
-    df = t.t("orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    k, priority = F.col("o_orderkey") % 7, F.col("o_orderpriority")
+    note = (F.when(k == 0, None).when(k == 1, "").when(k == 2, F.concat(F.lit("  "), priority, F.lit(" ")))
+            .when(k == 3, F.concat(F.lit('a;b"'), "o_orderstatus", F.lit('"')))
+            .when(k == 4, F.concat(F.lit('\\"; '), priority)).when(k == 5, "\\N \nx").otherwise(priority))
+    df = t.t("orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", note.alias("note"))
     write_csv(df, path)
     return read_csv(t.spark, path, "o_orderkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
-                                   "o_orderdate TIMESTAMP_NTZ")
+                                   "o_orderdate TIMESTAMP_NTZ, note STRING")
 
 
 # ---------------------------------------------------------------- 2.2 projection
@@ -391,9 +397,8 @@ def explode_two_levels(t: Tables) -> DataFrame:
     """order -> lines[] -> references[] (claim -> care event -> procedure shape)."""
     refs = F.array(F.struct(F.lit("part").alias("kind"), F.col("l_partkey").cast("string").alias("code")),
                    F.struct(F.lit("supplier").alias("kind"), F.col("l_suppkey").cast("string").alias("code")))
-    lines = (t.t("lineitem").groupBy("l_orderkey")
-             .agg(F.collect_list(F.struct("l_linenumber", refs.alias("refs"))).alias("lines")))
-    nested = t.t("orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    nested = t.t("orders").join(t.t("lineitem"), F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn(
+        "lines", F.when(F.col("l_orderkey").isNotNull(), F.array(F.struct("l_linenumber", refs.alias("refs")))))
     ex = op.explode_path(nested.select("o_orderkey", "lines"), [("lines", "l"), ("l.refs", "r")])
     return ex.select("o_orderkey", F.col("l.l_linenumber").alias("l_linenumber"),
                      F.col("r.kind").alias("kind"), F.col("r.code").alias("code"))
@@ -539,8 +544,9 @@ UNION ALL SELECT 'one' AS label, o_custkey, n FROM a WHERE n = 1
 def shared_subplan(t: Tables) -> DataFrame:
     a = (t.t("orders").groupBy("o_custkey")
          .agg(F.count(F.lit(1)).alias("n"), _r4(F.sum("o_totalprice")).alias("total")))
-    # Three consumers of one aggregate: Spark plans the shared exchange once
-    # (ReusedExchange), so the orders scan and shuffle are not repeated.
+    # Three consumers of one aggregate; written once, because each would prune
+    # the scan differently and so compute its own.
+    a = stage(a, "customer_totals")
     return op.union_all(a.where(F.col("n") >= 12).select(F.lit("many").alias("label"), "o_custkey", "n"),
                         a.where(F.col("total") > 2500000).select(F.lit("big").alias("label"), "o_custkey", "n"),
                         a.where(F.col("n") == 1).select(F.lit("one").alias("label"), "o_custkey", "n"))
@@ -676,16 +682,15 @@ def flag_join_back(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- 2.6 windows, 2.7 sort
 
 @query("row_number_rank", "F1", """
-SELECT o_custkey, o_orderkey,
-       CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) AS BIGINT) AS r
-FROM orders
+SELECT k, o_orderkey, row_number() OVER (PARTITION BY k ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC) AS r
+FROM (SELECT *, CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS k FROM orders) o
 """)
 def row_number_rank(t: Tables) -> DataFrame:
     # Every row is ranked, so a customer holding a large share of the orders
     # must not land in one task: the range-split ranking spreads it.
-    r = op.rank_desc_split(t.t("orders").select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"],
-                           ["o_orderdate", "o_orderkey"])
-    return r.select("o_custkey", "o_orderkey", F.col("r").cast("bigint").alias("r"))
+    # Orders of low priority have no key; they are one partition, as in a window.
+    o = t.t("orders").select(_null_when_low("o_custkey").alias("k"), "o_orderkey", "o_orderdate")
+    return op.rank_desc_split(o, ["k"], ["o_orderdate", "o_orderkey"]).select("k", "o_orderkey", "r")
 
 
 @query("latest_per_key", "F2", """

@@ -47,20 +47,25 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
         w.save(path)
 
 
+#: Both directions: quotes doubled, edge white space kept, NULL apart from ''.
+_CSV = {"quote": '"', "escape": '"', "nullValue": "\\N", "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True) -> None:
     """``EXPORT DATA`` as sharded ``;``-CSV with a header line, overwriting.
 
     One file per task; no coalesce to one file (that would funnel all rows
-    through a single task).
+    through a single task). Strings keep their edge white space, quotes are
+    doubled, NULL is written ``\\N``.
     """
-    (df.write.mode("overwrite").option("sep", sep).option("header", header)
-       .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+    df.write.mode("overwrite").options(sep=sep, header=header, emptyValue='""', **_CSV).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str = ";",
              header: bool = True) -> DataFrame:
-    return (spark.read.option("sep", sep).option("header", header)
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").schema(schema).csv(path))
+    """What :func:`write_csv` wrote, value for value; line breaks within strings too."""
+    return spark.read.options(sep=sep, header=header, multiLine=True, emptyValue="", **_CSV).schema(schema).csv(path)
 
 
 Stager = Callable[[DataFrame, str], DataFrame]

@@ -87,11 +87,14 @@ def test_aligned_lists_skip_nulls_per_list(spark):
     assert (r["first_list"], r["second_list"]) == ("D1,D2", "2019-01-01,2020-01-01")
 
 
-def test_first_pair_splits_on_dash(spark):
-    rows = [("e", "C2", "ANA-MARIA"), ("e", "C1", "LUIS"), ("e", None, "ZOE")]
+def test_first_pair_keeps_code_and_name_together(spark):
+    rows = [("e", "C2", "ANA-MARIA"), ("e", "C1", "LUIS"), ("e", "C1", "RAUL"), ("e", None, "ADA"), ("f", None, "ZOE")]
     df = spark.createDataFrame(rows, "e string, c string, n string")
-    r = op.first_pair(df, ["e"], "c", "n").first()
-    assert (r["codes"], r["names"], r["code"], r["name"]) == ("C1-C2", "ZOE-LUIS-ANA-MARIA", "C1", "ZOE")
+    got = {r["e"]: (r["code"], r["name"]) for r in op.first_pair(df, ["e"], "c", "n").collect()}
+    assert got == {"e": ("C1", "LUIS"), "f": (None, None)}
+    lists = {r["e"]: r for r in op.aligned_lists(df, ["e"], "c", "n", "-", "codes", "names", "first").collect()}
+    assert tuple(lists["e"]["first"]) == ("C1", "LUIS") and lists["f"]["first"] is None
+    assert lists["e"]["codes"] == "C1-C1-C2"
 
 
 def test_repeat_flag_counts_distinct_events(spark):
