@@ -19,15 +19,19 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: (kind, pattern, group that has a least length, that length), in order.
+#: Runs of one character class are maximal, so a least length of the whole match
+#: can be part of the search: shorter runs fail and use up nothing else.
 PATTERNS = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]+", 0, 24),
 )
+_SEARCH = (PATTERNS[0][1], r"AKIA[A-Z0-9]{16,}", r"[0-9a-f]{24,}")
 #: What any match of sufficient length contains; texts without it aren't searched.
 _GATES = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{6}""",
           r"AKIA[A-Z0-9]{16}", r"[0-9a-f]{24}")
@@ -75,7 +79,7 @@ class SecretModel:
 
     def ratio(self, token: Column) -> Column:
         """Log-likelihood ratio of a token: random against ordinary."""
-        table = F.array(*[F.lit(x) for x in self.ratios])
+        table = F.lit(np.array(self.ratios))  # one literal; an array() of literals is built for every character
         start = F.struct(F.lit(0).alias("state"), F.lit(0.0).alias("sum"))
         return F.aggregate(_codes(token), start, lambda acc, c: F.struct(
             c.alias("state"), (acc["sum"] + F.get(table, acc["state"] * _STATES + c)).alias("sum")))["sum"]
@@ -124,7 +128,7 @@ def _spans(text: Column, pattern: str, kind: int, keep: Callable[[Column, Column
 def fixed_spans(text: Column) -> list[Column]:
     """For each fixed pattern the array of its spans."""
     out = []
-    for kind, ((_, pattern, group, least), gate) in enumerate(zip(PATTERNS, _GATES, strict=True)):
+    for kind, ((_, _, group, least), pattern, gate) in enumerate(zip(PATTERNS, _SEARCH, _GATES, strict=True)):
         part = F.regexp_extract_all(text, F.lit(pattern), group)
         spans = _spans(text, pattern, kind, _long_enough(part, least))
         out.append(F.when(text.rlike(gate), spans).otherwise(F.array().cast(_NONE)))
