@@ -11,8 +11,9 @@ Layout:
   driver's test tables.
 * ``plans``     - the three extracts (members, encounters, service lines) and
   the catalogue of operator queries registered in ``__spark_entry__``.
-* ``streaming`` - intentionally empty: the reference works on bounded
-  monthly snapshots only.
+
+There are no streaming operators: the reference works on bounded monthly
+snapshots only.
 """
 
 __all__ = ["functions", "operators", "sources", "plans"]

@@ -32,6 +32,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     # On a cluster the platform's session names the shared folder; this
     # function is not used there.
     extra.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="claimweave-ckpt-", dir="/tmp"))
+    extra.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="claimweave-tables-", dir="/tmp"))
     for k, v in extra.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -35,16 +35,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_shared_root(spark)}/claimweave/{name}-{uuid.uuid4().hex}"
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                table: str | None = None) -> None:
-    """``CREATE OR REPLACE TABLE ... AS``: overwrite (which also truncates)."""
-    w = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if table:
-        w.option("path", path).saveAsTable(table)
-    else:
-        w.save(path)
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+    """``CREATE OR REPLACE TABLE ... AS`` of a path: the rows are written beside it
+    and swapped in at the end, so a failed run leaves the old ones in place."""
+    spark, new, old = df.sparkSession, f"{path}__{uuid.uuid4().hex}", f"{path}__old_{uuid.uuid4().hex}"
+    df.write.partitionBy(*(partition_by or [])).parquet(new)
+    at = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(at(path))
+    if had and not fs.rename(at(path), at(old)):
+        raise OSError(f"{path} can't be replaced")
+    if not fs.rename(at(new), at(path)):
+        raise OSError(f"{new} can't be moved to {path}; the rows before are at {old if had else 'no place'}")
+    if had:
+        fs.delete(at(old), True)
+
+
+def replace_table(df: DataFrame, table: str) -> None:
+    """``CREATE OR REPLACE TABLE ... AS`` of a catalog table, swapped in by name at the end."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex[:12]
+    new, old = f"{table}__new_{mark}", f"{table}__old_{mark}"
+    df.write.format("parquet").saveAsTable(new)
+    had = spark.catalog.tableExists(table)
+    if had:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    if had:
+        spark.sql(f"DROP TABLE {old}")
 
 
 #: Both directions: quotes doubled, edge white space kept, NULL apart from ''.

@@ -140,7 +140,7 @@ def test_latest_snapshot_is_a_scalar_subquery(spark):
 def test_rank_desc_split_equals_window_with_a_hot_key(spark):
     # one key holds most rows; ties on ts are broken by id
     rows = [("hot", i % 7, i) for i in range(3000)] + [(f"k{i % 40}", i % 5, 10000 + i) for i in range(400)]
-    rows += [("nul", None, 20000), ("nul", 3, 20001)]
+    rows += [("nul", None, 20000), ("nul", 3, 20001)] + [(None, i % 3, 30000 + i) for i in range(500)]
     df = spark.createDataFrame(rows, "k string, ts long, id long")
     want = {(r["k"], r["id"]): r["r"] for r in op.rank_desc(df, ["k"], ["ts", "id"]).collect()}
     got = {(r["k"], r["id"]): r["r"] for r in op.rank_desc_split(df, ["k"], ["ts", "id"], partitions=8).collect()}

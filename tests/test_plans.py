@@ -8,9 +8,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from claimweave import functions as cf
 from claimweave import operators as op
+from claimweave.plans import load_catalog, runner
 from claimweave.sources.sinks import scratch_path
 from claimweave.sources.tables import Tables
 from conftest import SF_SMALL
@@ -25,9 +25,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(load_catalog()))
 def test_no_slow_path_operators(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF_SMALL))
+    plan = plan_of(runner(name)(spark, SF_SMALL))
     bad = [f for f in FORBIDDEN if f in plan] + NULL_AWARE.findall(plan)
     assert not bad, f"{name}: {bad}"
 
