@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from claimweave import functions as cf
 from claimweave import operators as op
 from claimweave.plans import load_catalog, runner
-from claimweave.sources.sinks import scratch_path
+from claimweave.plans import encounters as enc
+from claimweave.plans import extract_queries as queries
+from claimweave.plans import members as mem
+from claimweave.plans import service_lines as svc
+from claimweave.sources import standin
+from claimweave.sources.sinks import scratch_path, stage
 from claimweave.sources.tables import Tables
 from conftest import SF_SMALL
 
@@ -103,3 +108,23 @@ def test_latest_per_key_is_an_aggregate_not_a_window(spark):
     plan = plan_of(op.latest_per_key(df.select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"],
                                      ["o_orderdate", "o_orderkey"]))
     assert "Window" not in plan and "partial_max_by" in plan
+
+
+@pytest.mark.parametrize("job", ["members", "encounters", "service_lines"])
+def test_staged_frames_have_no_slow_path_operators(spark, job):
+    """Frames that a job writes on its way are checked before they are written."""
+    seen = []
+
+    def checked(df, name):
+        plan = plan_of(df)
+        bad = [f for f in FORBIDDEN if f in plan] + NULL_AWARE.findall(plan)
+        assert not bad, f"{job}, {name}: {bad}"
+        seen.append(name)
+        return stage(df, name)
+
+    t = Tables(spark, SF_SMALL)
+    build = {"members": lambda: mem.members_extract(standin.members_inputs(t), queries.MEMBERS, checked),
+             "encounters": lambda: enc.encounters_extract(standin.encounters_inputs(t), queries.ENCOUNTERS, checked),
+             "service_lines": lambda: svc.service_lines_extract(standin.service_lines_inputs(t), queries.SERVICE_LINES, checked)}
+    out = plan_of(build[job]())
+    assert seen and not [f for f in FORBIDDEN if f in out]
