@@ -36,7 +36,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     document); those of which nothing is left go."""
     bound_batches(spark)
     drop = stage(templates.dropped_lines(docs).withColumnRenamed("doc_id", "with_lines"), "dropped_lines")
-    met = docs.select(*COLUMNS).join(drop, F.col("doc_id") == F.col("with_lines"), "left")
+    # The same join at every size: what is dropped grows with the documents.
+    met = docs.select(*COLUMNS).join(drop.hint("merge"), F.col("doc_id") == F.col("with_lines"), "left")
     text = templates.without(F.col("text"), F.col("lines"))
     new = met.select("doc_id", text.alias("text"), "lang", "source", F.when(
         F.col("lines").isNull(), F.col("n_chars")).otherwise(F.length(text)).cast("long").alias("n_chars"), "lines")
