@@ -137,19 +137,31 @@ def _same_template(similarity: float):
     return run
 
 
+def _templates(docs: DataFrame, id_col: str, text_col: str, depth: int, similarity: float, least_words: int,
+               block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(sig, template), and each template's first and last document."""
+    lines = stage(_distinct_lines(_rows(docs, id_col, text_col), depth, least_words).groupBy("leaf", "sig").agg(
+        F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last"), F.first("words").alias("words")), "lines")
+    index = lines.select(F.col("leaf").alias("key"), F.col("sig").alias("id"), "words")
+    linked = components(compare(deal(index, index.limit(0), block_rows), _same_template(similarity), "a long, b long"))
+    own = lines.select("sig", "keeper", "last").join(linked.withColumnRenamed("node", "sig"), "sig", "left")
+    own = own.withColumn("template", F.coalesce("component", "sig"))
+    ends = own.groupBy("template").agg(F.min("keeper").alias("keeper"), F.max("last").alias("last"))
+    return own.select("sig", "template"), ends
+
+
 def recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
               similarity: float = SIMILARITY, least_words: int = LEAST_WORDS, least_docs: int = LEAST_DOCS,
               block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(sig, template, docs, keeper): the line signatures of templates in
     ``least_docs`` or more documents, and the document that keeps them."""
-    lines = stage(_distinct_lines(_rows(docs, id_col, text_col), depth, least_words).groupBy("leaf", "sig").agg(
-        F.count(F.lit(1)).alias("docs"), F.min("doc_id").alias("keeper"), F.first("words").alias("words")), "lines")
-    index = lines.select(F.col("leaf").alias("key"), F.col("sig").alias("id"), "words")
-    linked = components(compare(deal(index, index.limit(0), block_rows), _same_template(similarity), "a long, b long"))
-    own = lines.select("sig", "docs", "keeper").join(linked.withColumnRenamed("node", "sig"), "sig", "left")
-    own = own.withColumn("template", F.coalesce("component", "sig"))
-    total = own.groupBy("template").agg(F.sum("docs").alias("docs"), F.min("keeper").alias("keeper"))
-    return own.select("sig", "template").join(total.filter(F.col("docs") >= least_docs), "template")
+    own, ends = _templates(docs, id_col, text_col, depth, similarity, least_words, block_rows)
+    if least_docs > 1:
+        ends = ends.filter("keeper < last")
+    again = stage(own.join(ends.select("template", "keeper"), "template"), "template_lines")
+    met = _line_numbers(_rows(docs, id_col, text_col), depth, least_words).join(again, "sig")
+    total = met.select("template", "doc_id").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("docs"))
+    return again.join(total.filter(F.col("docs") >= least_docs), "template").select("template", "sig", "docs", "keeper")
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH,
@@ -157,7 +169,12 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   least_docs: int = LEAST_DOCS) -> DataFrame:
     """(doc_id, lines): sorted 0-based numbers of the lines to drop, for the
     documents that have any."""
-    again = stage(recurring(docs, id_col, text_col, depth, similarity, least_words, least_docs), "recurring_lines")
+    if least_docs == 2:  # a first and another last document are two: no need to count them
+        own, ends = _templates(docs, id_col, text_col, depth, similarity, least_words, BLOCK_ROWS)
+        again = own.join(ends.filter("keeper < last").select("template", "keeper"), "template")
+    else:
+        again = recurring(docs, id_col, text_col, depth, similarity, least_words, least_docs)
+    again = stage(again, "recurring_lines")
     met = _line_numbers(_rows(docs, id_col, text_col), depth, least_words).join(again, "sig")
     kept = met.filter("doc_id = keeper").groupBy("doc_id", "template").agg(F.min("line").alias("stays"))
     first = met.filter("doc_id = keeper").join(kept, ["doc_id", "template"]).filter("line > stays").select("doc_id", "line")

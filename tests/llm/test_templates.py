@@ -69,6 +69,16 @@ def test_hot_leaf_in_blocks(spark):
     assert dropped(spark, rows) == brute([r[:2] for r in rows])
 
 
+def test_documents_are_counted_once(spark):
+    """Similar lines of one document and repeated rows don't make a template recur."""
+    alike = [" ".join(["row of the table holds", w, "and then some more words"]) for w in ("apples", "pears", "plums")]
+    rows = [doc(1, "\n".join(alike)), doc(2, prose(21)), doc(2, prose(21)), doc(3, prose(22)), doc(4, prose(22)),
+            doc(4, prose(22)), doc(5, prose(23)), doc(6, prose(23)), doc(7, prose(23))]
+    assert dropped(spark, rows) == {4: [0], 6: [0], 7: [0]} == brute([r[:2] for r in dict.fromkeys(rows)])
+    assert dropped(spark, rows, least_docs=3) == {6: [0], 7: [0]} == brute([r[:2] for r in dict.fromkeys(rows)], 3)
+    assert sorted(r["docs"] for r in templates.recurring(frame(spark, rows)).collect()) == [2, 3]
+
+
 def test_without(spark):
     df = spark.createDataFrame([("a\nb\n\nc", [0, 2]), ("a", None), ("a\nb", [0, 1])], "t string, l array<bigint>")
     got = [r[0] for r in df.select(templates.without(df["t"], df["l"])).collect()]
