@@ -4,8 +4,9 @@
 labelled texts. ``LanguageModel.column`` scores a text column: the words of a
 text are drawn from a mixture of languages with the n-gram likelihoods as
 component densities, expectation-maximisation estimates the proportions, and
-the set of languages is the one with the largest penalised likelihood (each
-further language costs ``penalty * log(words)``).
+of the sets of the 1, 2, ... most frequent languages the one with the largest
+penalised likelihood is taken (each further language costs ``penalty *
+log(words)``). All learned languages can be in it, with any share of the words.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 so is every text if no labelled text has a letter. Rows with a null label or
@@ -31,10 +32,6 @@ BUCKET_BITS = 16
 SMOOTHING = 0.5
 ROUNDS = 10
 PENALTY = 2.0
-#: Largest set of languages that is tried for one text.
-MOST_LANGUAGES = 3
-#: A language under this share of a text's words does not start a larger set.
-LEAST_SHARE = 0.02
 
 _KIND = np.zeros(256, bool)
 _KIND[[*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = True
@@ -144,9 +141,9 @@ class LanguageModel:
         value = single.max(axis=1).astype(np.float64)
         chosen = np.zeros_like(share)
         chosen[np.arange(len(own)), main] = 1
-        ordered = np.take_along_axis(share, rank, axis=1)
-        for k in range(2, min(MOST_LANGUAGES, len(self.names)) + 1):
-            try_docs = np.flatnonzero(ordered[:, k - 1] >= LEAST_SHARE)
+        for k in range(2, len(self.names) + 1):
+            # No likelihood is above 0 here, so where the cost alone is no gain larger sets can't win.
+            try_docs = np.flatnonzero(value < -penalty * (k - 1) * np.log(n))
             if not len(try_docs):
                 break
             allowed = np.zeros((len(try_docs), len(self.names)), np.float32)
@@ -163,7 +160,7 @@ class LanguageModel:
             value[try_docs[better]] = gain[better]
             chosen[try_docs[better]] = fit[better]
         for i, d in enumerate(own):
-            order = [j for j in np.argsort(-chosen[i], kind="stable") if chosen[i, j] > 0.005]
+            order = [j for j in np.argsort(-chosen[i], kind="stable") if chosen[i, j] > 0]
             found[d] = (self.names[order[0]], float(min(1.0, chosen[i, order[0]])),
                         ",".join(f"{self.names[j]}:{chosen[i, j]:.3f}" for j in order))
         only_bytes = _KIND[:0x80]

@@ -44,6 +44,29 @@ def test_awkward_rows(spark):
     assert scored(spark, model, []) == {}
 
 
+def made_up(name, k, n):
+    """n words of a language with an alphabet of its own."""
+    return " ".join("".join(name[(k * 7 + i * 5 + j * j) % len(name)] for j in range(6)) for i in range(n))
+
+
+def test_every_language_counts(spark):
+    """Sets grow to all languages, however small a language's share is."""
+    letters = {"aa": "abcde", "bb": "fghij", "cc": "klmno", "dd": "pqrst", "ee": "uvwxy"}
+    model = language.train(frame(spark, [doc(100 * i + k, made_up(x, k, 50), lang) for i, (lang, x) in enumerate(letters.items())
+                                         for k in range(10)]))
+    mixed = lambda **n: " ".join(made_up(letters[x], 3, k) for x, k in n.items())
+    want = {1: dict.fromkeys(letters, 0.2), 2: {"aa": 0.35, "bb": 0.22, "cc": 0.22, "dd": 0.21},
+            3: {"aa": 1478 / 1500, "bb": 22 / 1500}, 4: {"aa": 1 - 8 / 4000, "ee": 8 / 4000}}
+    rows = [doc(1, mixed(**dict.fromkeys(letters, 40))), doc(2, mixed(aa=350, bb=220, cc=220, dd=210)),
+            doc(3, mixed(aa=1478, bb=22)), doc(4, mixed(aa=3992, ee=8))]
+    got = {k[0]: v for k, v in scored(spark, model, rows).items()}
+    for i, shares in want.items():
+        found = {x.split(":")[0]: float(x.split(":")[1]) for x in got[i]["languages"].split(",")}
+        assert set(found) == set(shares)
+        assert all(abs(found[x] - share) < 0.01 for x, share in shares.items())
+        assert abs(got[i]["score"] - max(shares.values())) < 0.01
+
+
 def test_nothing_to_learn(spark):
     model = language.train(frame(spark, [doc(1, None), doc(2, prose(1), None)]))
     assert scored(spark, model, [doc(1, prose(1))])[(1, prose(1))]["lang"] == "und"
