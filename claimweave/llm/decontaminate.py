@@ -6,7 +6,8 @@ documents or ``RARE_SHARE`` of them, or in at most ``RARE_FACTOR`` times as many
 as the item's median n-gram, so that an item's own copies don't make it common. A second pass aligns the words
 around each seed that a document shares with an item, by Smith-Waterman over
 words; an item whose best alignment reaches ``least`` of the score of a full
-copy contaminates the document, be the copy exact, edited or paraphrased. Both
+copy, or the score of ``passage`` equal words, contaminates the document, be the
+copy exact, edited or paraphrased, whole or a passage of a long item. Both
 passes read whole texts and move no rows; the benchmark is taken in blocks of
 bounded size, so it may be of any size itself.
 
@@ -33,6 +34,8 @@ from claimweave.llm.textbatch import Texts, runs, to_texts
 SEED_WORDS = 3
 RARE_DOCS, RARE_SHARE, RARE_FACTOR = 100, 0.001, 4
 LEAST = 0.5
+#: An alignment that scores as so many equal words is a copied passage, whatever the item's length.
+PASSAGE = 30
 MATCH, MISMATCH, GAP = 2, -1, 1
 #: Items that one pass takes (the driver and each task hold them).
 BLOCK_ITEMS = 20_000
@@ -152,7 +155,7 @@ def _span(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
     return int(j), end
 
 
-def _matches(t: Texts, seeds: Seeds, table: np.ndarray, least: float) -> Iterator[tuple[int, dict]]:
+def _matches(t: Texts, seeds: Seeds, table: np.ndarray, least: float, passage: int) -> Iterator[tuple[int, dict]]:
     """(text, match) of a run of texts."""
     t = t.trimmed()
     h, at, k = seeds.hits(t, table)
@@ -176,7 +179,7 @@ def _matches(t: Texts, seeds: Seeds, table: np.ndarray, least: float) -> Iterato
             inside = (column >= cut[doc[part]][:, None]) & (column < cut[doc[part] + 1][:, None])
             windows = np.where(inside, h[np.clip(column, 0, len(h) - 1)], np.uint64(0))
             score = _align(words, windows)
-            for j in np.flatnonzero(score >= least * MATCH * m):
+            for j in np.flatnonzero(score >= MATCH * min(least * m, passage)):
                 key = (int(doc[part[j]]), int(i))
                 best[key] = max(best.get(key, (0, 0)), (int(score[j]), -int(begin[j])))
     for (d, i), (score, begin) in sorted(best.items()):
@@ -203,7 +206,7 @@ def seeds(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id
     return out
 
 
-def column(text: Column, found: list[Seeds], least: float = LEAST) -> Column:
+def column(text: Column, found: list[Seeds], least: float = LEAST, passage: int = PASSAGE) -> Column:
     """Array of the matches of a text: item_id, score (1 for a full copy) and the
     bytes ``begin`` to ``end`` of the text that the alignment covers."""
     if not found:
@@ -214,7 +217,7 @@ def column(text: Column, found: list[Seeds], least: float = LEAST) -> Column:
         def match(texts: pa.Array) -> pa.Array:
             table, out = seeds.table(), [[] for _ in range(len(texts))]
             for t in runs(texts):
-                for d, hit in _matches(t, seeds, table, least):
+                for d, hit in _matches(t, seeds, table, least, passage):
                     out[t.rows[d]].append(hit)
             kind = pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("begin", pa.int64()), ("end", pa.int64())])
             return pa.array(out, pa.list_(kind))
@@ -225,7 +228,7 @@ def column(text: Column, found: list[Seeds], least: float = LEAST) -> Column:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 least: float = LEAST) -> DataFrame:
+                 least: float = LEAST, passage: int = PASSAGE) -> DataFrame:
     """(doc_id, item_id, score, begin, end): one row for each document and item it holds."""
-    hits = column(F.col(text_col), seeds(docs, benchmark, text_col), least)
+    hits = column(F.col(text_col), seeds(docs, benchmark, text_col), least, passage)
     return docs.select(F.col(id_col).alias("doc_id"), F.explode(hits).alias("hit")).select("doc_id", "hit.*")

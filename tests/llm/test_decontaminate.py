@@ -63,6 +63,19 @@ def test_common_passage_still_matches(spark):
     assert set(found(spark, docs, bench)) == {(k, 1) for k in range(40)}
 
 
+def test_passages_of_long_items(spark):
+    """A verbatim passage counts, however small a part of its item it is."""
+    item = prose(9001, 400)
+    words = item.split()
+    docs = [doc(1, f"{prose(9100)} {' '.join(words[100:250])} {prose(9101)}"), doc(2, " ".join(words[:40])),
+            doc(3, f"{prose(9102)} {' '.join(words[60:75])} {prose(9103)}"), doc(4, prose(9104, 400))]
+    got = found(spark, docs, [(7, item)])
+    assert set(got) == {(1, 7), (2, 7)}
+    assert 0.37 < got[1, 7]["score"] < 0.4
+    text = docs[0][1].encode()[got[1, 7]["begin"]:got[1, 7]["end"]].decode()
+    assert " ".join(words[100:250]) in text and len(text.split()) < 165
+
+
 def test_awkward_rows(spark):
     rows = awkward()
     bench = [(1, prose(1)), (2, None), (3, ""), (4, "two words"), (None, prose(5)), (6, prose(1))]
