@@ -3,7 +3,10 @@
 Two first-order Markov models over the characters of a token, one of random
 strings and one of ordinary identifiers, are trained from labelled samples; a
 token whose log-likelihood ratio reaches ``LEAST_RATIO`` is a span of kind
-``markov``, unless a span of the fixed patterns holds it already. All of it is
+``markov``, unless a span of the fixed patterns holds it already. In other tokens
+each run of characters that reaches it is one, widened to the next of ``= / _ -``,
+so text glued to a secret does not hide it; tokens have no least length but the
+one that the ratio needs. All of it is
 SQL expressions: training is one aggregation, the scan moves no rows.
 
 Defined cases: null and empty texts have no spans; matches that fail a
@@ -37,7 +40,7 @@ _GATES = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']
           r"AKIA[A-Z0-9]{16}", r"[0-9a-f]{24}")
 KINDS = (*[p[0] for p in PATTERNS], "markov")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
+TOKEN = r"[A-Za-z0-9+/_=-]{%d,}"
 #: Ordinary samples are tokens of this form in texts without a fixed-pattern match.
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{12,}"
 #: Log ratio that a span needs, far above what mixed-case identifiers reach (about 15).
@@ -47,6 +50,7 @@ SMOOTHING = 10.0
 _STATES = len(ALPHABET) + 1
 SPAN = "struct<start: bigint, kind: int, end: bigint>"
 _NONE = f"array<{SPAN}>"
+_CUTS = "array<struct<begin: int, end: int>>"
 
 
 def _codes(token: Column) -> Column:
@@ -84,6 +88,52 @@ class SecretModel:
         return F.aggregate(_codes(token), start, lambda acc, c: F.struct(
             c.alias("state"), (acc["sum"] + F.get(table, acc["state"] * _STATES + c)).alias("sum")))["sum"]
 
+    def shortest(self, least: float) -> int:
+        """Characters that a token needs at least for a ratio of ``least``."""
+        most = max(self.ratios)
+        return max(1, math.ceil(least / most)) if most > 0 else 1
+
+    def best(self, token: Column) -> Column:
+        """The largest ratio of any run of a token's characters, at least 0."""
+        table = F.lit(np.array(self.ratios))
+        zero = F.struct(F.lit(0).alias("state"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("peak"))
+        return F.aggregate(_codes(token), zero, lambda acc, c: F.struct(
+            c.alias("state"), F.greatest(F.lit(0.0), acc["sum"] + F.get(table, acc["state"] * _STATES + c)).alias("sum"),
+            F.greatest(acc["peak"], acc["sum"]).alias("peak")),
+            lambda acc: F.greatest(acc["peak"], acc["sum"]))
+
+    def runs(self, token: Column, least: float) -> Column:
+        """(begin, end) of the runs of a token that reach ``least``, each widened to
+        the separators around it. A run ends where its ratio falls to 0, or by ``least``."""
+        codes, table = _codes(token), F.lit(np.array(self.ratios))
+        before = F.concat(F.array(F.lit(0)), F.slice(codes, 1, F.size(codes) - 1))
+        ratios = F.zip_with(before, codes, lambda a, b: F.get(table, a * _STATES + b))
+        zero = F.struct(F.lit(0).alias("at"), F.lit(0.0).alias("sum"), F.lit(0).alias("begin"), F.lit(0.0).alias("peak"),
+                        F.lit(0).alias("end"), F.array().cast(_CUTS).alias("out"))
+        found = lambda acc: F.when(acc["peak"] >= least, F.concat(acc["out"], F.array(
+            F.struct(acc["begin"].alias("begin"), acc["end"].alias("end"))))).otherwise(acc["out"])
+
+        def add(acc: Column, ratio: Column) -> Column:
+            now, next_at = acc["sum"] + ratio, acc["at"] + 1
+            over = (now <= 0) | (now <= acc["peak"] - least)
+            up = ~over & (now > acc["peak"])
+            return F.struct(
+                next_at.alias("at"), F.when(over, 0.0).otherwise(now).alias("sum"),
+                F.when(over, next_at).otherwise(acc["begin"]).alias("begin"),
+                F.when(over, 0.0).when(up, now).otherwise(acc["peak"]).alias("peak"),
+                F.when(over | up, next_at).otherwise(acc["end"]).alias("end"),
+                F.when(over, found(acc)).otherwise(acc["out"]).alias("out"))
+
+        def widened(run: Column) -> Column:
+            own = F.substr(token, run["begin"] + 1, run["end"] - run["begin"])
+            begin = run["begin"] + F.length(F.regexp_extract(own, "^[=/_-]*", 0))
+            end = run["end"] - F.length(F.regexp_extract(own, "[=/_-]*$", 0))
+            left = F.regexp_extract(F.substr(token, F.lit(1), begin), "[^=/_-]*$", 0)
+            right = F.regexp_extract(F.substr(token, end + 1), "^[^=/_-]*", 0)
+            return F.struct((begin - F.length(left)).alias("begin"), (end + F.length(right)).alias("end"))
+
+        return F.array_distinct(F.transform(F.aggregate(ratios, zero, add, found), widened))
+
 
 def train(samples: DataFrame, smoothing: float = SMOOTHING) -> SecretModel:
     """Both Markov models from (token, random) rows; the driver receives at most
@@ -107,24 +157,29 @@ def train(samples: DataFrame, smoothing: float = SMOOTHING) -> SecretModel:
     return SecretModel([a - b for a, b in zip(log_p(True), log_p(False), strict=True)])
 
 
-def _spans(text: Column, pattern: str, kind: int, keep: Callable[[Column, Column], Column]) -> Column:
-    """Spans of all leftmost matches that ``keep(match, index)`` holds for. Matches and the
-    text between them alternate, so lengths give the positions."""
+def _spans(text: Column, pattern: str, kind: int, cut: Callable[[Column, Column], Column]) -> Column:
+    """Spans ``cut(match, index)`` of all leftmost matches. Matches and the text between
+    them alternate, so lengths give the positions."""
     match = F.regexp_extract_all(text, F.lit(pattern), 0)
     between = F.split(text, pattern, -1)
     parts = F.transform(match, lambda m, i: F.struct(
-        F.length(F.get(between, i)).cast("long").alias("gap"), F.length(m).cast("long").alias("n"), keep(m, i).alias("keep")))
+        F.length(F.get(between, i)).cast("long").alias("gap"), F.length(m).cast("long").alias("n"), cut(m, i).alias("cuts")))
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_NONE).alias("out"))
 
     def add(acc: Column, part: Column) -> Column:
         start = acc["at"] + part["gap"]
-        end = start + part["n"]
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        return F.struct(end.alias("at"), F.when(part["keep"], F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+        spans = F.transform(part["cuts"], lambda c: F.struct(
+            (start + c["begin"]).alias("start"), F.lit(kind).alias("kind"), (start + c["end"]).alias("end")))
+        return F.struct((start + part["n"]).alias("at"), F.when(F.size(part["cuts"]) > 0, F.concat(acc["out"], spans))
+                        .otherwise(acc["out"]).alias("out"))
 
     return F.aggregate(parts, zero, add)["out"]
 
 
+def _whole(match: Column) -> Column:
+    return F.array(F.struct(F.lit(0).alias("begin"), F.length(match).alias("end")))
+
+
 def fixed_spans(text: Column) -> list[Column]:
     """For each fixed pattern the array of its spans."""
     out = []
@@ -136,7 +191,7 @@ def fixed_spans(text: Column) -> list[Column]:
 
 
 def _long_enough(part: Column, least: int) -> Callable[[Column, Column], Column]:
-    return lambda _, i: F.length(F.get(part, i)) >= least
+    return lambda m, i: F.when(F.length(F.get(part, i)) >= least, _whole(m)).otherwise(F.array().cast(_CUTS))
 
 
 def scan(docs: DataFrame, model: SecretModel, text_col: str = "text", least_ratio: float = LEAST_RATIO) -> DataFrame:
@@ -145,9 +200,12 @@ def scan(docs: DataFrame, model: SecretModel, text_col: str = "text", least_rati
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"), text.alias("text"))
     rows = rows.withColumn("fixed", F.array(*fixed_spans(F.col("text"))))
-    secret = lambda token: model.ratio(token) >= least_ratio
-    tokens = F.regexp_extract_all("text", F.lit(TOKEN), 0)
-    found = F.when(F.exists(tokens, secret), _spans(F.col("text"), TOKEN, len(PATTERNS), lambda m, _: secret(m)))
+    some = lambda token: model.best(token) >= least_ratio
+    pattern = TOKEN % model.shortest(least_ratio)
+    tokens = F.regexp_extract_all("text", F.lit(pattern), 0)
+    cut = lambda m, _: F.when(~some(m), F.array().cast(_CUTS)).when(
+        model.ratio(m) >= least_ratio, _whole(m)).otherwise(model.runs(m, least_ratio))
+    found = F.when(F.exists(tokens, some), _spans(F.col("text"), pattern, len(PATTERNS), cut))
     known = F.flatten("fixed")
     fresh = F.filter("markov", lambda s: ~F.exists(known, lambda k: (k["start"] <= s["start"]) & (k["end"] >= s["end"])))
     rows = rows.withColumn("markov", F.coalesce(found, F.array().cast(_NONE)))

@@ -61,6 +61,26 @@ def test_models_add_random_strings_only(spark):
             assert any(text[int(a):int(b)] == random_ones[i] for _, a, b in spans)
 
 
+def test_short_and_glued_secrets(spark):
+    """The ratio alone decides: no least length, and ordinary text around a secret does not cancel it."""
+    rng = random.Random(5)
+    draw = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    long = lambda k, sep: sep.join("".join(prose(700 + 10 * k + j, 3).split()) for j in range(8))
+    short = [draw(14) for _ in range(20)]
+    glued = [draw(24) for _ in range(40)]
+    rows = [doc(k, f"{prose(k)} {x} {prose(50 + k)}") for k, x in enumerate(short)]
+    rows += [doc(100 + k, f"é {long(k, '/_'[k % 2])}{'=_'[k % 2]}{x} {prose(90 + k)}") for k, x in enumerate(glued)]
+    rows += [doc(200, f"{long(1, '/')}/{glued[0]}/{long(2, '/')}/{glued[1]}"), doc(300, f"{long(3, '/')} {long(4, '_')}")]
+    text = {r[0]: r[1] for r in rows}
+    cut = {}
+    for i, _, _, every in scanned(spark, model_of(spark), rows):
+        spans = [s.split(":") for s in every.split(",") if s.startswith("markov")]
+        cut[i] = [text[i][int(a):int(b)] for _, a, b in spans]
+    assert sum(cut[k] == [x] for k, x in enumerate(short)) >= 18
+    assert sum(cut[100 + k] == [x] for k, x in enumerate(glued)) >= 38
+    assert cut[200] == glued[:2] and cut[300] == []
+
+
 def test_ratio_equals_plain_sum(spark):
     model = model_of(spark)
     for token in ("abcDEF0123456789+/", "q", "_=-x"):
