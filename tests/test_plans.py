@@ -18,7 +18,7 @@ from claimweave.plans import service_lines as svc
 from claimweave.sources import standin
 from claimweave.sources.sinks import scratch_path, stage
 from claimweave.sources.tables import Tables
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")

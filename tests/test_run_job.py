@@ -12,7 +12,7 @@ from claimweave.plans.extract_queries import ENCOUNTERS, SERVICE_LINES
 from claimweave.sources import standin
 from claimweave.sources.sinks import read_csv, replace_table, scratch_path, write_table
 from claimweave.sources.tables import Tables
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 
 
 def stored(spark, inputs) -> dict:
