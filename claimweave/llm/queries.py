@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import decontaminate, embeddings, language, mixing, quality, secrets, simhash, templates, toxicity, warc
+from claimweave.llm import (decontaminate, embeddings, language, mixing, negatives, quality, secrets, simhash, templates,
+                            toxicity, warc, whitening)
 from claimweave.llm.folds import held_out, labelled
 from claimweave.llm.textbatch import bound_batches
 from claimweave.sources.sinks import stage
@@ -165,3 +166,44 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@_query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=moved)
+
+
+ORACLE_SQL["op12_hard_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+           list_inner_product(a.x, b.x)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+    SELECT * FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id)::INTEGER AS rank,
+       s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positive p JOIN scored s ON p.anchor_id = s.anchor_id
+WHERE NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
+
+@_query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, rows = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    every = rows.select("id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    share = F.array(*[F.lit(float(e / model.trace)) for e in model.values]).cast("array<double>")
+    return every.select(F.col("id").alias("vec_id"), (F.col("at") + 1).cast("int").alias("component"),
+                        F.lit(model.centre.n).cast("long").alias("n"), "deviation", "whitened",
+                        F.get(share, F.col("at")).alias("explained"),
+                        F.lit(model.identity_error).cast("double").alias("identity_error"))

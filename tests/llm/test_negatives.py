@@ -1,0 +1,111 @@
+"""Hard negatives: bounds, rows against brute force, awkward rows, blocks and slices."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from claimweave.llm import negatives
+
+SCHEMA = "vec_id bigint, embedding array<{kind}>, label int, id string, score int"
+
+
+def clustered(seed, n=240, dims=12):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(6, dims))
+    return [[float(np.float32(x)) for x in centres[k % 6] + rng.normal(0, 0.5, dims)] for k in range(n)]
+
+
+def brute(rows, every=5, shift=7):
+    own = {}
+    for i, v, label, *_ in rows:
+        if i is None or label is None or not v or any(x is None or not np.isfinite(x) for x in v):
+            continue
+        own.setdefault((i, (label + 1) % 10 if i % shift == 0 else label, tuple(v)), [int(np.floor(256 * x)) for x in v])
+    own = [(i, label, x) for (i, label, _), x in own.items()]
+    out = []
+    for a, la, x in own:
+        if a % every:
+            continue
+        met = [(-sum(p * q for p, q in zip(x, y)), i, lab == la) for i, lab, y in own if i != a and len(y) == len(x)]
+        for ps, p, _ in sorted(m for m in met if m[2])[:5]:
+            found = sorted(m for m in met if not m[2] and 50 * -ps <= 100 * -m[0] <= 95 * -ps)[:3]
+            out += [(a, p, r, n, -ps, -ns) for r, (ns, n, _) in enumerate(found, 1)]
+    return sorted(out)
+
+
+def found(spark, rows, kind="float", every=5):
+    df = spark.createDataFrame(rows, SCHEMA.format(kind=kind))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    got = negatives.hard_negatives(df, F.col("id") % every == 0, label=label)
+    return sorted(tuple(r) for r in got.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score",
+                                               "negative_score").collect())
+
+
+def test_summaries_bound_scores():
+    rng = np.random.default_rng(1)
+    for size in (1, 2, 7, 31, 64, 100):
+        x, y = np.floor(256 * rng.normal(3, 2, (2, 20, size)))
+        width = negatives._widths(size)
+        assert width.sum() == size
+        score, before = x @ y.T, None
+        for n in negatives.LEVELS:
+            (mx, dx, w), (my, dy, _) = (negatives.coarser(*negatives.summaries(v), width, n) for v in (x, y))
+            spread = (dx * w) @ dy.T
+            assert (np.abs((mx * w) @ my.T - score) <= spread + 1e-6 * np.abs(score).max()).all()
+            # Finer segments never bound worse.
+            assert before is None or (spread <= before + 1e-6 * np.abs(score).max()).all()
+            before = spread
+
+
+@pytest.mark.parametrize("sizes", [(2048, 8192), (7, 40)])
+def test_equals_brute_force(spark, monkeypatch, sizes):
+    # One label holds half of the rows, as many as several slices and blocks.
+    monkeypatch.setattr(negatives, "ANCHORS_PER_BLOCK", sizes[0])
+    monkeypatch.setattr(negatives, "ROWS_PER_SLICE", sizes[1])
+    rows = [(k, v, 3 if k % 2 else k % 5, "x", 1) for k, v in enumerate(clustered(0))]
+    want = brute(rows)
+    assert len(want) > 300 and found(spark, rows) == want
+
+
+def test_pruned_pairs_are_lost_ones(spark):
+    # Long vectors in few directions: nearly all pairs end at a coarse level.
+    rng = np.random.default_rng(5)
+    rows = [(k, [float(x) for x in np.repeat(rng.normal(size=2), 40) * (1 + k % 9) + rng.normal(0, .01, 80)], k % 3, "x", 1)
+            for k in range(200)]
+    want = brute(rows)
+    assert want and found(spark, rows, "double") == want
+
+
+def test_awkward_rows(spark):
+    v = clustered(2, 60)
+    rows = [(k, x, k % 2, "x", 1) for k, x in enumerate(v)]
+    rows += [(100, None, 1, None, None), (101, [], 1, "x", 1), (105, [1.0, None], 1, "x", 1), (None, v[0], 1, "x", 1),
+             (110, [float("nan")] * 12, 1, "x", 1), (115, [float("inf")] * 12, 0, "x", 1), (120, v[1], None, "x", 1),
+             (125, [2.0, 3.0], 1, "x", 1), (128, [2.0, 3.0], 1, "x", 1), (127, [1.5, 2.5], 0, "x", 1),
+             (130, [0.0] * 12, 1, "x", 1), (0, v[0], 0, "again", 2)]
+    rows += [(200 + k, v[1], 1, "copy", 1) for k in range(30)] + [(300 + k, v[1], 0, "copy", 1) for k in range(30)]
+    want = brute(rows)
+    assert found(spark, rows) == want and any(a == 125 for a, *_ in want)
+    # Full ties: of thirty equal rows the smaller ids come first.
+    assert {r[1] for r in want if r[0] == 205} <= {1, 200, 201, 202, 203, 204}
+
+
+def test_nothing_to_find(spark):
+    assert found(spark, []) == []
+    assert found(spark, [(5, [1.0, 2.0], 1, "x", 1)]) == []
+    assert found(spark, [(5, [1.0, 2.0], 1, "x", 1), (6, [1.0, 2.0], 1, "x", 1)]) == []
+    # Positives whose score is below zero have no band.
+    assert found(spark, [(5, [1.0, 2.0], 1, "x", 1), (6, [-1.0, 2.0 / -3], 1, "x", 1), (8, [-.5, .1], 0, "x", 1)]) == []
+
+
+def test_scores_beyond_a_double_are_exact(spark):
+    # Inner products around 2^55.
+    rows = [(k, [2.0 ** 20 + k, 2.0 ** 19 - k, float(k)], k % 2, "x", 1) for k in range(20)]
+    rows += [(100 + k, [2.0 ** 20 * .8 + k / 256, 2.0 ** 19 * .8, float(k)], 5, "x", 1) for k in range(20)]
+    want = brute(rows)
+    assert max(r[4] for r in want) > 2 ** 53 and found(spark, rows, "double") == want
+
+
+def test_scores_beyond_a_long_are_an_error(spark):
+    with pytest.raises(Exception, match="beyond 2\\^62"):
+        found(spark, [(k, [1e12, 1e12], 1, "x", 1) for k in range(0, 10)], "double")
