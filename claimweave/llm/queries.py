@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import (decontaminate, embeddings, language, mixing, negatives, quality, secrets, simhash, templates,
-                            toxicity, warc, whitening)
+from claimweave.llm import (decontaminate, embeddings, language, mixing, negatives, neural_lm, quality, secrets, simhash,
+                            templates, toxicity, warc, whitening)
 from claimweave.llm.folds import held_out, labelled
 from claimweave.llm.textbatch import bound_batches
 from claimweave.sources.sinks import stage
@@ -168,6 +168,15 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@_query
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = neural_lm.train(docs.filter(~held_out("doc_id", 10, 0)))
+    scored = model.score(docs.select("doc_id", "text")).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", held_out("doc_id", 10, 0).alias("held_out"), "n_tokens", "n_known",
+                         F.lit(model.vocabulary.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 @_query
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))

@@ -157,6 +157,45 @@ def runs(column: pa.Array, most: int = CHUNK) -> Iterator[Texts]:
         yield to_texts(rows, texts)
 
 
+def _cut(buf: np.ndarray, at: int, step: int = 1 << 16) -> int:
+    """The first white space at or after ``at``, or the end."""
+    while at < len(buf):
+        found = np.flatnonzero(_SPACE[buf[at:at + step]])
+        if len(found):
+            return at + int(found[0])
+        at += step
+    return len(buf)
+
+
+def pieces(column: pa.Array, most: int | None = None) -> Iterator[tuple[Texts, bool, bool]]:
+    """Runs of the texts of a binary column like ``runs``, but a text longer than
+    ``most`` comes alone, in pieces cut at white space, so that only its bytes and
+    the arrays of one piece are held. Each run says whether it begins and whether
+    it ends its texts; a word is never cut."""
+    most = CHUNK if most is None else most
+    rows: list[int] = []
+    texts: list[bytes] = []
+    size = 0
+    for i, value in enumerate(column):
+        data = value.as_buffer() if value.is_valid else None
+        n = data.size if data is not None else 0
+        if rows and size + n > most:
+            yield to_texts(rows, texts), True, True
+            rows, texts, size = [], [], 0
+        if n > most:
+            buf, at = np.frombuffer(data, np.uint8), 0
+            while at < n:
+                to = _cut(buf, min(at + most, n))
+                yield to_texts([i], [buf[at:to].tobytes()]), at == 0, to == n
+                at = to
+            continue
+        rows.append(i)
+        texts.append(data.to_pybytes() if data is not None else b"")
+        size += n
+    if rows:
+        yield to_texts(rows, texts), True, True
+
+
 def slices(data: bytes, most: int = CHUNK) -> Iterator[list[bytes]]:
     """The words of a long text, some at a time."""
     at = 0

@@ -71,7 +71,7 @@ def test_chebyshev_damps_the_interval():
 
 
 def test_dropped_rows(spark):
-    x = [list(v) for v in np.random.default_rng(6).normal(size=(50, 6))]
+    x = np.random.default_rng(6).normal(size=(50, 6)).tolist()
     rows = rows_of(x)
     bad = [None, [], [1.0, None, 0.0, 0.0, 0.0, 0.0], [float("nan")] * 6, [float("inf")] * 6, [1.0, 2.0]]
     rows += [(100 + k, v, 0, "x", "y", 1) for k, v in enumerate(bad)] + [(None, x[0], 0, "x", "y", 1), (3, x[3], 0, "x", "y", 1)]
