@@ -11,8 +11,9 @@ words follow their smoothed counts, with one place for a word never met. So the
 probabilities of the next token add up to 1.
 
 Training is numpy inside the tasks: Adagrad on the noise-contrastive objective,
-noise drawn from the class frequencies. The texts are dealt into ``ROUNDS`` parts;
-in each round every task goes on from the common model over its texts of that
+noise drawn from the class frequencies. Texts are read twice, for the counts and to
+write each one's sequence of classes, which training and scoring read. The texts are
+dealt into ``ROUNDS`` parts; in each round every task goes on from the common model over its texts of that
 part, and the models are averaged by their tokens. So each text is used once,
 whatever the corpus' size, and the driver receives a few models. Scoring uses the
 exact normalisation, by batched matrix products over all classes.
@@ -35,24 +36,27 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.llm.gather import summed
 from claimweave.llm.textbatch import Texts, mix, pieces
 from claimweave.sources.sinks import stage
 
-WORDS, ENDINGS = 767, 256
+WORDS, ENDINGS = 255, 256
 SMOOTHING = 0.1
-CONTEXT, WIDTH, ROUNDS = 4, 32, 3
-BATCH, NOISE, RATE, SEED = 1024, 64, 0.2, 3
+CONTEXT, WIDTH, ROUNDS = 4, 16, 3
+BATCH, NOISE, RATE, SEED = 2048, 64, 0.2, 3
 #: Words whose counts travel with the tasks (16 bytes each), at most.
 COUNTED = 1 << 18
 _END_BUCKET = -1
-_TOKENS_AT_ONCE = 4096
+#: So many rows of all classes' scores stay in a core's cache.
+_TOKENS_AT_ONCE = 256
+_FIT_AT_ONCE = 1 << 18
 _EMIT = 1 << 20
 _STEPS = 64
 _f4 = np.float32
+_LEAD = np.uint64(64 - 18)
 
 
 def endings(t: Texts) -> np.ndarray:
@@ -119,6 +123,9 @@ class Vocabulary:
     frequency: np.ndarray
     rest: np.ndarray
 
+    def __post_init__(self):
+        self.begin = np.searchsorted(self.counted >> _LEAD, np.arange((1 << 64 - int(_LEAD)) + 1, dtype=np.uint64))
+
     @property
     def words(self) -> int:
         return len(self.frequency) - ENDINGS - 1
@@ -129,11 +136,21 @@ class Vocabulary:
 
     def find(self, h: np.ndarray, ending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(counts, classes) of words; the count is -1 of one that is not ``counted``."""
-        if not len(self.counted):
-            return np.full(len(h), -1), self.words + ending
-        at = np.minimum(np.searchsorted(self.counted, h), len(self.counted) - 1)
-        own = (self.counted[at] == h) & (self.ending[at] == ending)
-        return np.where(own, self.n[at], -1), np.where(own, self.cls[at], self.words + ending)
+        n, cls = np.full(len(h), -1), self.words + ending
+        # Hashes are spread evenly, so their leading bits nearly give the place.
+        lead = (h >> _LEAD).astype(np.int64)
+        at, stop = self.begin[lead], self.begin[lead + 1]
+        left = np.flatnonzero(at < stop)
+        while len(left):
+            i = at[left]
+            own = self.counted[i] == h[left]
+            same = left[own]
+            same, i = same[self.ending[i[own]] == ending[same]], i[own][self.ending[i[own]] == ending[same]]
+            n[same], cls[same] = self.n[i], self.cls[i]
+            left = left[~own]
+            at[left] += 1
+            left = left[at[left] < stop[left]]
+        return n, cls
 
 
 def _vocabulary(counts: DataFrame, words: int, counted: int) -> Vocabulary:
@@ -167,25 +184,27 @@ def _vocabulary(counts: DataFrame, words: int, counted: int) -> Vocabulary:
     return Vocabulary(int(total.sum()), int(distinct.sum()), int(total[ENDINGS]), int(least), h, ending, n, cls, frequency, rest)
 
 
-def sequence(cls: np.ndarray, counts: np.ndarray, end: int, closes: bool,
-             before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(classes with the end tokens, the CONTEXT classes before each, text of each).
+def layout(cls: np.ndarray, counts: np.ndarray, end: int, closes: bool, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(classes of each text behind the CONTEXT classes before it, where each
+    text's begin): ``before`` are end tokens, or what came before a piece."""
+    size = counts + CONTEXT + int(closes)
+    begin = np.cumsum(size) - size
+    flat = np.full(size.sum(), end, np.int16)
+    flat[:CONTEXT] = before
+    flat[np.arange(len(cls)) + np.repeat(CONTEXT + begin - np.cumsum(counts) + counts, counts)] = cls
+    return flat, np.append(begin, len(flat))
+
+
+def tokens_of(flat: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of the tokens, text of each) in what :func:`layout` gives."""
+    size = np.diff(begin) - CONTEXT
+    doc = np.repeat(np.arange(len(size)), size)
+    return np.arange(len(doc)) + CONTEXT * (doc + 1), doc
+
 
-    ``before`` are the classes that precede each text: end tokens, or what came
-    before the piece of a long one.
-    """
-    size = counts + int(closes)
-    doc = np.repeat(np.arange(len(counts)), size)
-    start = np.cumsum(size) - size
-    off = np.arange(len(doc)) - start[doc]
-    seq = np.full(len(doc), end)
-    seq[np.arange(len(cls)) + np.repeat(np.arange(len(counts)), counts) * int(closes)] = cls
-    context = np.empty((len(before), len(seq)), np.int64)
-    for j in range(1, len(before) + 1):
-        context[j - 1] = before[np.minimum(off - j, -1)]
-        own = np.flatnonzero(off >= j)
-        context[j - 1, own] = seq[own - j]
-    return seq, context, doc
+def contexts(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The CONTEXT classes before each place, nearest first."""
+    return np.stack([flat[at - j] for j in range(1, CONTEXT + 1)])
 
 
 class LogBilinear:
@@ -219,88 +238,150 @@ class LogBilinear:
         z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
         return z
 
-    def log10_of(self, seq: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """log10 of the probability of each class of ``seq`` after its context."""
-        out = np.empty(len(seq))
-        for lo in range(0, len(seq), _TOKENS_AT_ONCE):
-            at = slice(lo, lo + _TOKENS_AT_ONCE)
-            _, q, _, bias = self.arrays[:4]
-            z = self.predicted(context[:, at]) @ q.T
-            z += bias
-            z -= z.max(axis=1, keepdims=True)
-            own = z[np.arange(len(z)), seq[at]]
-            np.exp(z, out=z)
-            out[at] = (own - np.log(z.sum(axis=1))) / np.log(10)
-        return out
+    def log10_of(self, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """log10 of the probability of each class of ``flat`` at ``at`` after those before it."""
+        _, q, _, bias = self.arrays[:4]
+        target, out = np.concatenate([q, bias[:, None]], axis=1).T.copy(), np.empty(len(at))
+        ones = np.ones((_TOKENS_AT_ONCE, 1), _f4)
+        for lo in range(0, len(at), _TOKENS_AT_ONCE):
+            own = at[lo:lo + _TOKENS_AT_ONCE]
+            z = np.concatenate([self.predicted(contexts(flat, own)), ones[:len(own)]], axis=1) @ target
+            mine = z[np.arange(len(z)), flat[own]]
+            if np.abs(mine).max() < 40 and z.max() < 80:  # no sum overflows or vanishes
+                out[lo:lo + len(own)] = mine - np.log(np.exp(z, out=z).sum(axis=1))
+            else:
+                z -= z.max(axis=1, keepdims=True)
+                out[lo:lo + len(own)] = z[np.arange(len(z)), flat[own]] - np.log(np.exp(z).sum(axis=1))
+        return out / np.log(10)
 
     def gradients(self, seq: np.ndarray, context: np.ndarray, noise: np.ndarray, log_noise: np.ndarray):
-        """The noise-contrastive objective (summed over tokens; the noise is shared
-        by them) and its gradients as (array, rows, values)."""
+        """The noise-contrastive objective (summed over tokens, which share the
+        noise) and its gradients: (rows, values) of the context vectors, of the
+        target vectors with the bias as last column, and of the positions."""
         r, q, position, bias = self.arrays[:4]
         vectors = r[context]
         predicted = (vectors * position[:, None]).sum(axis=0)
-        target = q[seq]
-        met = (predicted * target).sum(axis=1) + bias[seq] - log_noise[seq]
-        drawn = predicted @ q[noise].T + (bias - log_noise)[noise]
+        target, drawn_target, shift = q[seq], q[noise], bias - log_noise
+        met = np.einsum("nd,nd->n", predicted, target) + shift[seq]
+        drawn = predicted @ drawn_target.T + shift[noise]
         up = 1 / (1 + np.exp(met))              # 1 - sigmoid
         down = -1 / (1 + np.exp(-drawn))        # - sigmoid
-        back = up[:, None] * target + down @ q[noise]
-        rows = np.concatenate([seq, noise])
-        out = [(0, context.ravel(), (back * position[:, None]).reshape(-1, WIDTH)),
-               (1, rows, np.concatenate([up[:, None] * predicted, down.T @ predicted])),
-               (2, np.arange(CONTEXT), (vectors * back).sum(axis=1)),
-               (3, rows, np.concatenate([up, down.sum(axis=0)]))]
-        value = -np.logaddexp(0, -met).sum() - np.logaddexp(0, drawn).sum()
-        return value, out
+        back = up[:, None] * target + down @ drawn_target
+        to_target = np.concatenate([np.concatenate([up[:, None] * predicted, down.T @ predicted]),
+                                    np.concatenate([up, down.sum(axis=0)])[:, None]], axis=1)
+        to_position = np.einsum("cnd,nd->cd", vectors, back)
+        return (lambda: -np.logaddexp(0, -met).sum() - np.logaddexp(0, drawn).sum(),
+                (context.ravel(), (back * position[:, None]).reshape(-1, r.shape[1])),
+                (np.concatenate([seq, noise]), to_target), to_position)
 
     def step(self, seq: np.ndarray, context: np.ndarray, noise: np.ndarray, log_noise: np.ndarray) -> None:
-        for k, rows, g in self.gradients(seq, context, noise, log_noise)[1]:
-            own, at = np.unique(rows, return_inverse=True)
-            order = np.argsort(at, kind="stable")
-            total = np.add.reduceat(g[order], np.searchsorted(at[order], np.arange(len(own))), axis=0)
-            self.arrays[4 + k][own] += total * total
-            self.arrays[k][own] += RATE * total / np.sqrt(self.arrays[4 + k][own])
-
-    def fit(self, seq: np.ndarray, context: np.ndarray, frequency: np.ndarray, rng: np.random.Generator) -> None:
+        _, to_context, to_target, to_position = self.gradients(seq, context, noise, log_noise)
+        own, total = _by_row(*to_context)
+        self._move(0, own, total)
+        own, total = _by_row(*to_target)
+        self._move(1, own, total[:, :-1])
+        self._move(3, own, total[:, -1])
+        self._move(2, slice(None), to_position)
+
+    def _move(self, k: int, rows, g: np.ndarray) -> None:
+        seen = self.arrays[4 + k][rows] + g * g
+        self.arrays[4 + k][rows] = seen
+        self.arrays[k][rows] += RATE * g / np.sqrt(seen)
+
+    def fit(self, flat: np.ndarray, at: np.ndarray, frequency: np.ndarray, rng: np.random.Generator) -> None:
+        """One step for each ``BATCH`` of the tokens of ``flat`` at ``at``, in random order."""
         share = (frequency + SMOOTHING) / (frequency + SMOOTHING).sum()
         log_noise, ladder = np.log(NOISE * share).astype(_f4), np.cumsum(share)
-        order = rng.permutation(len(seq))
-        for lo in range(0, len(order), BATCH):
-            at = order[lo:lo + BATCH]
-            noise = np.minimum(np.searchsorted(ladder, rng.random(NOISE)), len(share) - 1)
-            self.step(seq[at], context[:, at], noise, log_noise)
-
-
-def _classified(column: pa.Array, vocabulary: Vocabulary):
-    """(texts, counts of words, classes, contexts, text of each token, closes) of each run."""
-    outside = np.full(CONTEXT, vocabulary.end)
-    before = outside
-    for t, opens, closes in pieces(column):
-        h, ending = t.hashes(), endings(t)
-        n, cls = vocabulary.find(h, ending)
-        before = outside if opens else before
-        seq, context, doc = sequence(cls, t.counts(), vocabulary.end, closes, before)
-        if not closes:
-            before = np.concatenate([before, seq])[-CONTEXT:]
-        yield t, h, ending, n, cls, seq, context, doc, closes
-
-
-def _averaged(docs: DataFrame, vocabulary: Vocabulary, model: LogBilinear, seed: int) -> LogBilinear:
+        at = rng.permutation(at)
+        for lo in range(0, len(at), BATCH):
+            own = at[lo:lo + BATCH]
+            noise = np.minimum(np.searchsorted(ladder, rng.random(NOISE)), len(share) - 1).astype(np.int16)
+            self.step(flat[own], contexts(flat, own), noise, log_noise)
+
+
+def _by_row(rows: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct rows, sums of their values)."""
+    order = np.argsort(rows, kind="stable")
+    at = rows[order]
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    return at[first], np.add.reduceat(g[order], first, axis=0)
+
+
+def _sequences(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Each piece of each row's text (columns id, text, learn), written once: its
+    classes, sums over the words that are counted, and the words that are not."""
+    kind = docs.schema["id"].dataType.simpleString()
+    end_log, end_known = float(np.log10(vocabulary.ends + SMOOTHING)), int(vocabulary.ends > 0)
+    outside = np.full(CONTEXT, vocabulary.end, np.int16)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = outside
+        for batch in batches:
+            for t, opens, closes in pieces(batch.column(3)):
+                h, ending, doc, counts = t.hashes(), endings(t), t.doc, t.counts()
+                n, cls = vocabulary.find(h, ending)
+                flat, begin = layout(cls, counts, vocabulary.end, closes, outside if opens else before)
+                before = flat[-CONTEXT:]
+                by = lambda values, doc=doc, t=t: np.bincount(doc, weights=values, minlength=t.n).astype(np.float64)
+                met = n >= 0
+                log = np.where(met, np.log10(np.maximum(n, 0) + SMOOTHING), 0.0)
+                # Words left to the join get their place in a shared class there.
+                within = by(np.where(met & (cls >= vocabulary.words), log - vocabulary.rest[ending], 0.0))
+                rare = np.flatnonzero(~met)
+                rare = rare[np.lexsort((ending[rare], h[rare], doc[rare]))]
+                d, a, e = doc[rare], h[rare], ending[rare]
+                first = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (a[1:] != a[:-1]) | (e[1:] != e[:-1]))[:len(d)])
+                times = np.diff(np.append(first, len(d)))
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.searchsorted(d[first], np.arange(t.n + 1)), pa.int32()), pa.StructArray.from_arrays(
+                        [pa.array(a[first].view(np.int64)), pa.array(e[first].astype(np.int32)), pa.array(times, pa.int64())],
+                        ["h", "ending", "times"]))
+                classes = pa.Array.from_buffers(pa.binary(), t.n, [None, pa.py_buffer((2 * begin).astype(np.int32)), pa.py_buffer(flat)])
+                rows = pa.array(t.rows)
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(k).take(rows) for k in range(3)], pa.array(counts + int(closes)),
+                     pa.array(by(met).astype(np.int64) + int(closes) * end_known), pa.array(by(log) + int(closes) * end_log),
+                     pa.array(within), lists, classes],
+                    ["row", "id", "learn", "n_tokens", "n_known", "words", "within", "rare", "classes"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "id", "learn", F.col("text").cast("binary").alias("text"))
+    return stage(rows.mapInArrow(run, f"row long, id {kind}, learn boolean, n_tokens long, n_known long, words double, within double, "
+                                      "rare array<struct<h:long,ending:int,times:long>>, classes binary"), "class_sequences")
+
+
+def _laid_out(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The classes of a batch's pieces and where each begins."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    return np.frombuffer(data, np.int16)[offsets[0] // 2:offsets[-1] // 2] if data else np.zeros(0, np.int16), (offsets - offsets[0]) // 2
+
+
+def _averaged(sequences: DataFrame, vocabulary: Vocabulary, model: LogBilinear, seed: int) -> LogBilinear:
     """The mean of the tasks' models after their texts, weighted by tokens."""
     start, classes = model.flat(), len(vocabulary.frequency)
 
     def task(batches: Iterable[pa.RecordBatch]) -> np.ndarray | None:
         own, tokens, rng = LogBilinear(classes, start), 0, np.random.default_rng([SEED, seed])
         for batch in batches:
-            for _, _, _, _, _, seq, context, *_ in _classified(batch.column(0), vocabulary):
-                own.fit(seq, context, vocabulary.frequency, rng)
-                tokens += len(seq)
+            flat, begin = _laid_out(batch.column(0))
+            at, _ = tokens_of(flat, begin)
+            for lo in range(0, len(at), _FIT_AT_ONCE):
+                own.fit(flat, at[lo:lo + _FIT_AT_ONCE], vocabulary.frequency, rng)
+            tokens += len(at)
         return np.append(own.flat() * tokens, tokens) if tokens else None
 
-    total = summed(docs.select(F.col("text").cast("binary")), task)
+    total = summed(sequences.select("classes"), task)
     return model if total is None else LogBilinear(classes, total[:-1] / total[-1])
 
 
+def _fitted(sequences: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
+    model = LogBilinear(len(vocabulary.frequency), frequency=vocabulary.frequency)
+    part = F.pmod(F.xxhash64("row"), F.lit(ROUNDS))
+    for k in range(ROUNDS):
+        model = _averaged(sequences.filter(F.col("learn") & (part == k)), vocabulary, model, k)
+    return model
+
+
 @dataclass
 class NeuralLM:
     vocabulary: Vocabulary
@@ -311,64 +392,50 @@ class NeuralLM:
         """(id, n_tokens, n_known, base_score, score) of each row: tokens, those met
         in training, and the log10 probabilities of the text by smoothed word
         frequencies and by the model."""
+        return self._scored(_sequences(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                                                   F.lit(False).alias("learn")), self.vocabulary))
+
+    def _scored(self, sequences: DataFrame) -> DataFrame:
         vocabulary, model = self.vocabulary, self.model
-        kind = docs.schema[id_col].dataType.simpleString()
-        end_log, end_known = float(np.log10(vocabulary.ends + SMOOTHING)), int(vocabulary.ends > 0)
+        kind = sequences.schema["id"].dataType.simpleString()
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for t, h, ending, n, cls, seq, context, doc, closes in _classified(batch.column(2), vocabulary):
-                    by = lambda doc, values, t=t: np.bincount(doc, weights=values, minlength=t.n).astype(np.float64)
-                    met, shared = n >= 0, cls >= vocabulary.words
-                    log = np.where(met, np.log10(np.maximum(n, 0) + SMOOTHING), 0.0)
-                    words = by(t.doc, log)
-                    # Words left to the join get their place in a shared class there.
-                    within = by(t.doc, np.where(met & shared, log - vocabulary.rest[ending], 0.0))
-                    scored = by(doc, model.log10_of(seq, context)) + within
-                    tokens = t.counts() + int(closes)
-                    known = by(t.doc, met).astype(np.int64) + int(closes) * end_known
-                    # Words to be joined, counted once for each text.
-                    rare = np.flatnonzero(~met)
-                    rare = rare[np.lexsort((ending[rare], h[rare], t.doc[rare]))]
-                    d, a, e = t.doc[rare], h[rare], ending[rare]
-                    first = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (a[1:] != a[:-1]) | (e[1:] != e[:-1]))[:len(d)])
-                    times = np.diff(np.append(first, len(d)))
-                    offsets = np.searchsorted(d[first], np.arange(t.n + 1))
-                    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
-                        [pa.array(a[first].view(np.int64)), pa.array(e[first].astype(np.int32)), pa.array(times, pa.int64())],
-                        ["h", "ending", "times"]))
-                    rows = pa.array(t.rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(tokens), pa.array(known),
-                         pa.array(words + int(closes) * end_log), pa.array(scored), lists],
-                        ["row", "id", "n_tokens", "n_known", "words", "scored", "rare"])
-
-        rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
-                           F.col(text_col).cast("binary").alias("text"))
-        sums = stage(rows.mapInArrow(run, f"row long, id {kind}, n_tokens long, n_known long, words double, scored double, "
-                                          "rare array<struct<h:long,ending:int,times:long>>"), "scored_pieces")
-        rare = sums.select("row", F.explode("rare").alias("r")).select("row", "r.*")
-        # The counts of frequent words came with the tasks, but for those left to the join.
+                flat, begin = _laid_out(batch.column(6))
+                at, doc = tokens_of(flat, begin)
+                own = np.bincount(doc, weights=model.log10_of(flat, at), minlength=batch.num_rows).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(5)],
+                                                  pa.array(own + batch.column(5).to_numpy())],
+                                                 ["row", "id", "n_tokens", "n_known", "words", "scored"])
+
+        sums = sequences.select("row", "id", "n_tokens", "n_known", "words", "within", "classes").mapInArrow(
+            run, f"row long, id {kind}, n_tokens long, n_known long, words double, scored double")
+        rare = sequences.select("row", F.explode("rare").alias("r")).select("row", "r.*")
         left = rare.join(self.counts.filter("ending >= 0"), ["h", "ending"], "left")
         log = F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + SMOOTHING)
+        rest = F.element_at(F.lit([float(x) for x in vocabulary.rest]), F.col("ending") + 1)
         joined = left.select("row", F.lit(None).cast(kind).alias("id"), F.lit(0).cast("long").alias("n_tokens"),
                              F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("n_known"), log.alias("words"),
-                             (log - F.col("times") * F.element_at(F.lit([float(x) for x in vocabulary.rest]), F.col("ending") + 1))
-                             .alias("scored"))
-        every = sums.drop("rare").union(joined).groupBy("row").agg(
+                             (log - F.col("times") * rest).alias("scored"))
+        every = sums.union(joined).groupBy("row").agg(
             F.max("id").alias("id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "words", "scored")])
         per_token = float(np.log10(vocabulary.tokens + SMOOTHING * (vocabulary.distinct + 1)))
         return every.select("id", "n_tokens", "n_known", (F.col("words") - F.col("n_tokens") * per_token).alias("base_score"),
                             F.col("scored").alias("score"))
 
 
+def learn_and_score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+                    counted: int = COUNTED) -> tuple[NeuralLM, DataFrame]:
+    """The model of the rows of ``docs`` where ``learn`` holds, and the scores of all
+    rows; texts are read once less than by ``train`` and ``score``."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
+    counts = _word_counts(rows.filter("learn"))
+    vocabulary = _vocabulary(counts, words, counted)
+    sequences = _sequences(rows, vocabulary)
+    lm = NeuralLM(vocabulary, _fitted(sequences, vocabulary), counts)
+    return lm, lm._scored(sequences)
+
+
 def train(docs: DataFrame, text_col: str = "text", words: int = WORDS, counted: int = COUNTED) -> NeuralLM:
     """Model of all texts of ``docs``."""
-    texts = docs.select(F.col(text_col).alias("text"))
-    counts = _word_counts(texts)
-    vocabulary = _vocabulary(counts, words, counted)
-    model = LogBilinear(len(vocabulary.frequency), frequency=vocabulary.frequency)
-    part = F.pmod(F.xxhash64("text"), F.lit(ROUNDS))
-    for k in range(ROUNDS):
-        model = _averaged(texts.filter(part == k), vocabulary, model, k)
-    return NeuralLM(vocabulary, model, counts)
+    return learn_and_score(docs.withColumn("_id", F.lit(0)), F.lit(True), "_id", text_col, words, counted)[0]

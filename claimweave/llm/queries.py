@@ -171,8 +171,8 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    model = neural_lm.train(docs.filter(~held_out("doc_id", 10, 0)))
-    scored = model.score(docs.select("doc_id", "text")).withColumnRenamed("id", "doc_id")
+    model, scored = neural_lm.learn_and_score(docs, ~held_out("doc_id", 10, 0))
+    scored = scored.withColumnRenamed("id", "doc_id")
     return scored.select("doc_id", held_out("doc_id", 10, 0).alias("held_out"), "n_tokens", "n_known",
                          F.lit(model.vocabulary.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 

@@ -122,19 +122,33 @@ def test_gradients():
     lm.arrays = [x.astype(np.float64) for x in lm.arrays]
     seq, context, noise = rng.integers(0, 9, 6), rng.integers(0, 9, (neural_lm.CONTEXT, 6)), rng.integers(0, 9, 5)
     log_noise = np.log(5 * frequency / frequency.sum())
-    full = [np.zeros_like(x) for x in lm.arrays[:4]]
-    for k, rows, g in lm.gradients(seq, context, noise, log_noise)[1]:
-        np.add.at(full[k], rows, g)
+    _, to_context, to_target, to_position = lm.gradients(seq, context, noise, log_noise)
+    full = [np.zeros((9, neural_lm.WIDTH)), np.zeros((9, neural_lm.WIDTH + 1)), to_position]
+    np.add.at(full[0], *to_context)
+    np.add.at(full[1], *to_target)
+    full = [full[0], full[1][:, :-1], full[2], full[1][:, -1]]
     for k, x in enumerate(lm.arrays[:4]):
         for at in [tuple(rng.integers(0, s) for s in x.shape) for _ in range(12)]:
             value = []
             for d in (1e-5, -2e-5):
                 x[at] += d
-                value.append(lm.gradients(seq, context, noise, log_noise)[0])
+                value.append(lm.gradients(seq, context, noise, log_noise)[0]())
             x[at] += 1e-5
             assert abs((value[0] - value[1]) / 2e-5 - full[k][at]) < 1e-4
 
 
+def test_batched_scores_equal_the_softmax():
+    rng = np.random.default_rng(2)
+    for scale in (1, 400):  # the larger one overflows without a shift
+        lm = neural_lm.LogBilinear(30, frequency=rng.integers(1, 9, 30).astype(float))
+        lm.arrays[1] *= scale
+        lm.arrays[3] *= scale
+        flat = rng.integers(0, 30, 700).astype(np.int16)
+        at = np.arange(neural_lm.CONTEXT, 700)
+        want = lm.log_softmax(neural_lm.contexts(flat, at))[np.arange(len(at)), flat[at]] / np.log(10)
+        assert np.allclose(lm.log10_of(flat, at), want, atol=1e-3, rtol=1e-4)
+
+
 def test_held_out_texts_are_better_than_by_frequency(spark):
     rows = corpus(1500)
     lm = trained(spark, [r for r in rows if not held(r[0])])
