@@ -1,4 +1,5 @@
-"""DataFrame operators: lazy in, lazy out; no action inside any of them."""
+"""DataFrame operators. Most are lazy; ``not_in``, ``classify_by_priority``, ``rank_desc_split``,
+``semi_in_filtered`` and ``salted_join`` run a job of their own while they build (a written table or a sketch)."""
 
 from claimweave.operators.nested import explode_rows, explode_path, keep_elements
 from claimweave.operators.snapshots import current_month, latest_snapshot, snapshot
@@ -6,6 +7,8 @@ from claimweave.operators.joins import (classify_by_priority, flag_from_keys, jo
                                         lookup_code, not_in, semi_in)
 from claimweave.operators.aggs import (aligned_lists, count_distinct_by, first_pair, list_of_pairs,
                                        ordered_list, repeat_flag)
+from claimweave.operators.filtered import semi_in_filtered
+from claimweave.operators.heavy import heavy_keys, salted_join
 from claimweave.operators.windows import latest_per_key, latest_value_per_key, rank_desc, rank_desc_split
 from claimweave.operators.sets import both_feeds, union_all
 from claimweave.operators.rows import mask, require_not_null
@@ -15,6 +18,7 @@ __all__ = [
     "current_month", "latest_snapshot", "snapshot",
     "classify_by_priority", "flag_from_keys", "join_hit", "lookup_code", "not_in", "semi_in",
     "aligned_lists", "count_distinct_by", "first_pair", "list_of_pairs", "ordered_list", "repeat_flag",
+    "semi_in_filtered", "heavy_keys", "salted_join",
     "latest_per_key", "latest_value_per_key", "rank_desc", "rank_desc_split",
     "both_feeds", "union_all",
     "mask", "require_not_null",

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -30,9 +32,52 @@ def _shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_JOB: ContextVar[str | None] = ContextVar("job", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint root."""
-    return f"{_shared_root(spark)}/claimweave/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique folder below the shared checkpoint root, in that of the job
+    (:func:`job_scratch`) if one runs."""
+    job = _JOB.get()
+    return f"{_shared_root(spark)}/claimweave/{f'{job}/' if job else ''}{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """Staged tables written inside the block are removed when it ends, whether it
+    fails or not. Frames that read them must have been run by then."""
+    if _JOB.get():  # the outer job's folder goes as a whole
+        yield
+        return
+    job = f"job-{uuid.uuid4().hex}"
+    mark = _JOB.set(job)
+    try:
+        yield
+    finally:
+        _JOB.reset(mark)
+        fs, at = _files(spark, f"{_shared_root(spark)}/claimweave/{job}")
+        fs.delete(at, True)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of a folder."""
+    at = hadoop_path(spark, path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Drop a catalog table and the files it was written to."""
+    if not spark.catalog.tableExists(table):
+        return
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    spark.sql(f"DROP TABLE {table}")
+    if described.get("Type") == "EXTERNAL":
+        fs, at = _files(spark, described["Location"])
+        fs.delete(at, True)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -40,26 +85,45 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     and swapped in at the end, so a failed run leaves the old ones in place."""
     spark, new, old = df.sparkSession, f"{path}__{uuid.uuid4().hex}", f"{path}__old_{uuid.uuid4().hex}"
     df.write.partitionBy(*(partition_by or [])).parquet(new)
-    at = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    _swap(spark, path, new, old)
+
+
+def _swap(spark: SparkSession, path: str, new: str, old: str) -> None:
+    """Move ``new`` to ``path``; if that fails, what was there stays."""
+    at = lambda p: hadoop_path(spark, p)
     fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
     had = fs.exists(at(path))
     if had and not fs.rename(at(path), at(old)):
         raise OSError(f"{path} can't be replaced")
-    if not fs.rename(at(new), at(path)):
-        raise OSError(f"{new} can't be moved to {path}; the rows before are at {old if had else 'no place'}")
+    try:
+        moved = fs.rename(at(new), at(path))
+    except Exception:
+        moved = False
+    if not moved:
+        if had and not fs.rename(at(old), at(path)):
+            raise OSError(f"{new} can't be moved to {path}; the rows before are at {old}")
+        raise OSError(f"{new} can't be moved to {path}, which is as before")
     if had:
         fs.delete(at(old), True)
 
 
 def replace_table(df: DataFrame, table: str) -> None:
-    """``CREATE OR REPLACE TABLE ... AS`` of a catalog table, swapped in by name at the end."""
+    """``CREATE OR REPLACE TABLE ... AS`` of a catalog table, swapped in by name at
+    the end; if that fails, the old table keeps its name. A table by month is
+    rewritten a month at a time instead (``months.replace_months_of_table``)."""
     spark, mark = df.sparkSession, uuid.uuid4().hex[:12]
     new, old = f"{table}__new_{mark}", f"{table}__old_{mark}"
     df.write.format("parquet").saveAsTable(new)
     had = spark.catalog.tableExists(table)
     if had:
         spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except Exception:
+        if had:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
     if had:
         spark.sql(f"DROP TABLE {old}")
 
