@@ -22,6 +22,8 @@ LONG_WORD = 64
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BREAK = np.zeros(256, bool)
+_BREAK[0x0A] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _SOLID = np.zeros(256, bool)
@@ -157,21 +159,22 @@ def runs(column: pa.Array, most: int = CHUNK) -> Iterator[Texts]:
         yield to_texts(rows, texts)
 
 
-def _cut(buf: np.ndarray, at: int, step: int = 1 << 16) -> int:
-    """The first white space at or after ``at``, or the end."""
+def _cut(buf: np.ndarray, at: int, where: np.ndarray, step: int = 1 << 16) -> int:
+    """The first byte of the kind ``where`` at or after ``at``, or the end."""
     while at < len(buf):
-        found = np.flatnonzero(_SPACE[buf[at:at + step]])
+        found = np.flatnonzero(where[buf[at:at + step]])
         if len(found):
             return at + int(found[0])
         at += step
     return len(buf)
 
 
-def pieces(column: pa.Array, most: int | None = None) -> Iterator[tuple[Texts, bool, bool]]:
+def pieces(column: pa.Array, most: int | None = None, lines: bool = False) -> Iterator[tuple[Texts, bool, bool]]:
     """Runs of the texts of a binary column like ``runs``, but a text longer than
-    ``most`` comes alone, in pieces cut at white space, so that only its bytes and
-    the arrays of one piece are held. Each run says whether it begins and whether
-    it ends its texts; a word is never cut."""
+    ``most`` comes alone, in pieces cut at white space (with ``lines``, at line
+    breaks), so that only its bytes and the arrays of one piece are held. Each run
+    says whether it begins and whether it ends its texts; no word or line is cut."""
+    where = _BREAK if lines else _SPACE
     most = CHUNK if most is None else most
     rows: list[int] = []
     texts: list[bytes] = []
@@ -185,7 +188,7 @@ def pieces(column: pa.Array, most: int | None = None) -> Iterator[tuple[Texts, b
         if n > most:
             buf, at = np.frombuffer(data, np.uint8), 0
             while at < n:
-                to = _cut(buf, min(at + most, n))
+                to = _cut(buf, min(at + most, n), where)
                 yield to_texts([i], [buf[at:to].tobytes()]), at == 0, to == n
                 at = to
             continue

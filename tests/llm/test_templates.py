@@ -1,33 +1,38 @@
-from collections import defaultdict
+import random
+import re
+import time
+from collections import Counter, defaultdict
 
 import numpy as np
 from llm_cases import awkward, doc, frame, prose
 
-from claimweave.llm import templates
-from claimweave.llm.blocks import roots
+from claimweave.llm import templates, textbatch
 
 
 def words_of(line):
-    return ["<*>" if any("0" <= c <= "9" for c in w) else w.lower() for w in line.split()]
+    words = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in re.findall(r"[^\x20\x09-\x0D]+", line)]
+    wild = [any("0" <= c <= "9" for c in w) for w in words]
+    return tuple("<*>" if x and 2 * sum(wild) <= len(words) else w for w, x in zip(words, wild))
 
 
-def brute(rows, least_docs=2):
-    """Lines to drop by comparing all lines of a leaf with each other."""
+def brute(rows, least_docs=2, short_docs=10):
+    """Lines to drop, by counting the words of each leaf's lines in place."""
     lines = [(d, n, words_of(t)) for d, text in rows if d is not None and text for n, t in enumerate(text.split("\n"))]
-    lines = [x for x in lines if len(x[2]) >= 3]
-    a, b = [], []
-    for i, (_, _, x) in enumerate(lines):
-        for j in range(i):
-            y = lines[j][2]
-            if len(x) == len(y) and x[:3] == y[:3] and sum(p == q for p, q in zip(x, y)) >= 0.8 * len(x):
-                a.append(i)
-                b.append(j)
+    lines = [x for x in lines if x[2]]
+    count = Counter((len(w), w[:3], k, w[k]) for w in {w for _, _, w in lines} for k in range(3, len(w)))
+
+    def template(w):
+        places = sorted((count[len(w), w[:3], k, w[k]], k) for k in range(3, len(w)))
+        most = int(len(w) * (1 - templates.SIMILARITY) + 1e-9)
+        fields = [k for n, k in places if n < places[-1][0]][:most]
+        return len(w), tuple(sorted(fields)), tuple(x for k, x in enumerate(w) if k not in fields)
+
     groups = defaultdict(list)
-    for k, r in enumerate(roots(len(lines), np.array(a, int), np.array(b, int))):
-        groups[r].append(lines[k][:2])
+    for d, n, w in lines:
+        groups[template(w)].append((d, n))
     out = defaultdict(set)
-    for group in groups.values():
-        if len({d for d, _ in group}) >= least_docs:
+    for (size, _, _), group in groups.items():
+        if len({d for d, _ in group}) >= (least_docs if size >= 3 else max(least_docs, short_docs)):
             for x in sorted(group)[1:]:
                 out[x[0]].add(x[1])
     return {d: sorted(n) for d, n in out.items()}
@@ -59,14 +64,60 @@ def test_awkward_rows_and_random_lines(spark):
     assert dropped(spark, []) == {}
 
 
-def test_hot_leaf_in_blocks(spark):
-    head = "one two three"
-    rows = [doc(k, f"{head} {chr(97 + k % 26)}{k // 26} " + " ".join(chr(97 + k // 5 % 7) * 3 for _ in range(9))) for k in range(80)]
-    df = frame(spark, rows)
-    small = {(r["sig"], r["template"], r["docs"]) for r in templates.recurring(df, block_rows=7).collect()}
-    large = {(r["sig"], r["template"], r["docs"]) for r in templates.recurring(df).collect()}
-    assert small == large
-    assert dropped(spark, rows) == brute([r[:2] for r in rows])
+def test_lines_without_a_template_stay(spark):
+    """3,000 lines of one leaf, of which no two are alike in four of five words."""
+    rng = random.Random(3)
+    draw = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    rows = [doc(k, f"alpha beta gamma {draw()} {draw()}") for k in range(3000)]
+    assert dropped(spark, rows) == {}
+
+
+def test_short_and_unspaced_lines(spark):
+    rows = [doc(k, f"Read more\n{prose(k)}\n日本語の長い行です。\nPage {k}\n{k} 17\nsome {k % 5}") for k in range(50)]
+    want = {k: [0, 2, 3, 5] for k in range(1, 50)}
+    assert dropped(spark, rows) == want == brute([r[:2] for r in rows])
+    # Nine documents are too few for a line of two words, not for one of three.
+    few = [doc(k, f"Read more\nplease read more\n{prose(k)}") for k in range(9)]
+    assert dropped(spark, few) == {k: [1] for k in range(1, 9)} == brute([r[:2] for r in few])
+
+
+def test_number_tables_stay(spark):
+    rows = [doc(k, f"{k} {k * 7} {k + 5}\ntotal {k} {k * 3} {k * 5}") for k in range(30)]
+    assert dropped(spark, rows) == {}
+
+
+def test_a_hot_leaf_takes_linear_time(spark):
+    """Half of the lines of one leaf are one template with one field, the others differ."""
+    def rows(n):
+        rng = random.Random(n)
+        word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+        return [doc(k, f"one two three {word()} is the name of the one we met" if k % 2 else
+                    "one two three " + " ".join(word() for _ in range(9))) for k in range(n)]
+    took = []
+    for n in (20_000, 100_000):
+        df = frame(spark, rows(n)).repartition(8)
+        began = time.time()
+        got = {r["doc_id"]: r["lines"] for r in templates.dropped_lines(df).collect()}
+        took.append(time.time() - began)
+        assert got == {k: [0] for k in range(3, n, 2)}
+    assert took[1] < 5 * took[0] + 5
+
+
+def test_long_texts_in_pieces(spark, monkeypatch):
+    rows = [doc(1, "\n".join(prose(k, 6) for k in range(300)) + "\n" + "x" * 5000 + "\n\nlast line of it"),
+            doc(2, "\n".join(prose(k, 6) for k in range(200, 500))), doc(3, "\n" * 3000 + "last line of it")]
+    want = brute([r[:2] for r in rows])
+    assert dropped(spark, rows) == want and len(want[2]) >= 100 and want[3] == [3000]
+    monkeypatch.setattr(textbatch, "CHUNK", 1000)
+    assert dropped(spark, rows) == want
+
+
+def test_leaves_that_share_a_bit(spark, monkeypatch):
+    rows = [doc(k, "\n".join(prose(int(x), 8) for x in random.Random(k).choices(range(60), k=20))) for k in range(20)]
+    want = brute([r[:2] for r in rows])
+    monkeypatch.setattr(templates, "LEAF_BITS", 4)
+    monkeypatch.setattr(templates, "_MAP_BITS", 3)
+    assert dropped(spark, rows) == want
 
 
 def test_documents_are_counted_once(spark):
