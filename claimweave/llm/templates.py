@@ -148,8 +148,9 @@ def generalised(words: DataFrame, depth: int, similarity: float) -> DataFrame:
     counts = each.groupBy("leaf", "at", "word").agg(F.count(F.lit(1)).alias("n"))
     counted = each.join(counts, ["leaf", "at", "word"])
     # A list is as long as its line.
-    lines = counted.groupBy("sig").agg(F.collect_list(F.struct("n", "at")).alias("places")).join(words, "sig")
-    rare = F.sort_array(F.filter("places", lambda x: x["n"] < F.array_max("places")["n"]))
+    lines = counted.groupBy("sig").agg(F.collect_list(F.struct("n", "at")).alias("places"), F.max("n").alias("top"))
+    lines = lines.join(words, "sig")
+    rare = F.sort_array(F.filter("places", lambda x: x["n"] < F.col("top")))
     # What rounding takes from whole numbers of words is given back.
     most = F.floor(F.size("words") * (1 - similarity) + 1e-9).cast("int")
     fields = F.array_sort(F.transform(F.slice(rare, F.lit(1), most), lambda x: x["at"]))
