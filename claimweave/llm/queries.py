@@ -31,7 +31,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.scan(docs, secrets.train(secrets.samples(docs)))
+    tokens = secrets.tokens_of(docs)
+    found = secrets.scan(docs, secrets.train(secrets.samples(docs, tokens)), tokens=tokens)
     sizes = [F.size(F.col("fixed")[k]).cast("long").alias(f"n_{name}") for k, name in enumerate(("assign", "access", "hex"))]
     base = F.flatten("fixed")
     return found.select("row.doc_id", *sizes, F.sha2(secrets.listed(base), 256).alias("base_sha256"),

@@ -126,3 +126,85 @@ def test_query_base_equals_brute_force(spark):
         assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(s[1] == k for s in spans) for k in range(3)]
         assert set(base.split(",")) <= set(r["spans"].split(",")) or not base
+
+
+def plain_markov(text, model):
+    """The models' spans of a text, a character at a time."""
+    least, table = secrets.LEAST_RATIO, model.ratios
+    fixed = [(a, b) for a, _, b, _ in brute(text)]
+    out = []
+    for m in re.finditer(secrets.TOKEN % model.shortest(least), text or ""):
+        token = m.group()
+        codes = [secrets.ALPHABET.index(c) + 1 for c in token]
+        ratios = [table[a * secrets._STATES + b] for a, b in zip([0, *codes], codes)]
+        total = best = 0.0
+        for r in ratios:
+            total = max(0.0, total + r)
+            best = max(best, total)
+        if best < least:
+            continue
+        cuts, total, begin, peak, end = [], 0.0, 0, 0.0, 0
+        for at, r in enumerate([*ratios, -math.inf], 1):
+            total += r
+            if total <= 0 or total <= peak - least:
+                if peak >= least:
+                    cuts.append((begin, end))
+                total, begin, peak, end = 0.0, at, 0.0, at
+            elif total > peak:
+                peak, end = total, at
+        wide = []
+        for a, b in cuts:
+            while a < b and token[a] in secrets.SEPARATORS:
+                a += 1
+            while b > a and token[b - 1] in secrets.SEPARATORS:
+                b -= 1
+            while a > 0 and token[a - 1] not in secrets.SEPARATORS:
+                a -= 1
+            while b < len(token) and token[b] not in secrets.SEPARATORS:
+                b += 1
+            wide.append((a, b))
+        cuts = list(dict.fromkeys(wide))
+        out += [(m.start() + a, m.start() + b) for a, b in cuts
+                if not any(x <= m.start() + a and y >= m.start() + b for x, y in fixed)]
+    return out
+
+
+def test_query_spans_equal_a_plain_version(spark):
+    from claimweave.llm.queries import QUERIES
+    folder = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    model = secrets.train(secrets.samples(table))
+    docs = {r["doc_id"]: r["text"] for r in table.collect()}
+    for r in QUERIES["op1_secret_scan"](spark, folder).collect():
+        text = docs[r["doc_id"]]
+        spans = [(a, k, b) for a, k, b, _ in brute(text)] + [(a, 3, b) for a, b in plain_markov(text, model)]
+        assert r["spans"] == ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
+        own = [s.split(":")[1:] for s in r["spans"].split(",") if s.startswith("markov")]
+        assert not any(text[int(a):int(b)].isalpha() and text[int(a):int(b)].isupper() for a, b in own)
+
+
+def test_planted_strings_equal_a_plain_version(spark):
+    rng = random.Random(11)
+    draw = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    glue = lambda k: "".join(rng.choice("=/_-+ \n") + rng.choice([draw(rng.randrange(3, 30)), prose(k + j, 2).replace(" ", rng.choice("_/-x"))])
+                             for j in range(12))
+    rows = [doc(k, glue(k)) for k in range(150)] + [doc(900, "A" + glue(5) * 40)]
+    model = model_of(spark)
+    some = 0
+    for _, text, base, every in scanned(spark, model, rows):
+        want = plain_markov(text, model)
+        got = [tuple(map(int, s.split(":")[1:])) for s in every.split(",") if s.startswith("markov")]
+        assert got == sorted(want)
+        some += len(got)
+    assert some > 300
+
+
+def test_hits_that_are_too_many_to_broadcast(spark, monkeypatch):
+    rng = random.Random(12)
+    draw = lambda n: "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))
+    rows = [doc(k, f"{prose(k)} {draw(20)} {draw(24)}") for k in range(60)] + [doc(100, None), doc(101, prose(5))]
+    rows += [rows[3]] * 40
+    model = model_of(spark)
+    want = sorted(scanned(spark, model, rows), key=repr)
+    monkeypatch.setattr(secrets, "BROADCAST_BYTES", 0)
+    assert sorted(scanned(spark, model, rows), key=repr) == want
