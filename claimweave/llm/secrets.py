@@ -6,8 +6,9 @@ strings in common spellings, and every different token of the texts without a
 fixed-pattern match, as it is and in capitals, so that a text in capitals is
 ordinary too. A run of a token's characters whose log-likelihood ratio reaches
 ``LEAST_RATIO`` is a span of kind ``markov``, widened to the token's ends or the next
-of ``= / _ -``, so text glued to a secret does not hide it, unless a span of the
-fixed patterns holds it already. Tokens have no least length but the one that the
+of ``= / _ -`` (a part between two of these of which the run has the smaller half is
+left out), so text glued to a secret does not hide it, unless a span of the fixed
+patterns holds it already. Tokens have no least length but the one that the
 ratio needs.
 
 All of it is SQL expressions. Each different token is scored once, however often
@@ -133,11 +134,11 @@ class SecretModel:
             lambda acc: F.greatest(acc["peak"], acc["sum"]))
 
     def runs(self, token: Column, least: float) -> Column:
-        """(begin, end) of the runs of a token that reach ``least``, each widened to
-        the separators around it. A run ends where its ratio falls to 0, or by ``least``."""
+        """(begin, end) of the runs of a token that reach ``least``, each brought to the
+        separators around it. A run ends where its ratio falls to 0, or by ``least``."""
         codes, table = _codes(token), F.lit(np.array(self.ratios))
-        before = F.concat(F.array(F.lit(0)), F.slice(codes, 1, F.size(codes) - 1))
-        ratios = F.zip_with(before, codes, lambda a, b: F.get(table, a * _STATES + b))
+        last = F.concat(F.array(F.lit(0)), F.slice(codes, 1, F.size(codes) - 1))
+        ratios = F.zip_with(last, codes, lambda a, b: F.get(table, a * _STATES + b))
         zero = F.struct(F.lit(0).alias("at"), F.lit(0.0).alias("sum"), F.lit(0).alias("begin"), F.lit(0.0).alias("peak"),
                         F.lit(0).alias("end"), F.array().cast(_CUTS).alias("out"))
         found = lambda acc: F.when(acc["peak"] >= least, F.concat(acc["out"], F.array(
@@ -154,15 +155,32 @@ class SecretModel:
                 F.when(over | up, next_at).otherwise(acc["end"]).alias("end"),
                 F.when(over, found(acc)).otherwise(acc["out"]).alias("out"))
 
+        part, apart = "[^=/_-]*", "[=/_-]*"
+        size = lambda text, pattern: F.length(F.regexp_extract(text, pattern, 0))
+        inside = lambda run: F.substr(token, run["begin"] + 1, run["end"] - run["begin"])
+        before = lambda run: size(F.substr(token, F.lit(1), run["begin"]), f"{part}$")
+        after = lambda run: size(F.substr(token, run["end"] + 1), f"^{part}")
+        span = lambda begin, end: F.struct(begin.alias("begin"), end.alias("end"))
+
+        def trimmed(run: Column) -> Column:
+            return span(run["begin"] + size(inside(run), f"^{apart}"), run["end"] - size(inside(run), f"{apart}$"))
+
+        def unglued(run: Column) -> Column:
+            """Without parts at the edges of which the run has the smaller half."""
+            head, tail, n = size(inside(run), f"^{part}"), size(inside(run), f"{part}$"), run["end"] - run["begin"]
+            return span(run["begin"] + F.when((head < before(run)) & (head < n), head).otherwise(0),
+                        run["end"] - F.when((tail < after(run)) & (tail < n), tail).otherwise(0))
+
         def widened(run: Column) -> Column:
-            own = F.substr(token, run["begin"] + 1, run["end"] - run["begin"])
-            begin = run["begin"] + F.length(F.regexp_extract(own, "^[=/_-]*", 0))
-            end = run["end"] - F.length(F.regexp_extract(own, "[=/_-]*$", 0))
-            left = F.regexp_extract(F.substr(token, F.lit(1), begin), "[^=/_-]*$", 0)
-            right = F.regexp_extract(F.substr(token, end + 1), "^[^=/_-]*", 0)
-            return F.struct((begin - F.length(left)).alias("begin"), (end + F.length(right)).alias("end"))
-
-        return F.array_distinct(F.transform(F.aggregate(ratios, zero, add, found), widened))
+            begin, end = run["begin"] - before(run), run["end"] + after(run)
+            # A slash, or padding behind, that nothing stands beyond is part of the string.
+            return span(F.when(F.substr(token, F.lit(1), begin).rlike("^/*$"), 0).otherwise(begin),
+                        F.when(F.substr(token, end + 1).rlike("^[/=]*$"), F.length(token)).otherwise(end))
+
+        cuts = F.aggregate(ratios, zero, add, found)
+        for step in (trimmed, unglued, trimmed, widened):
+            cuts = F.transform(cuts, step)
+        return F.array_distinct(cuts)
 
 
 def train(samples: DataFrame, smoothing: float = SMOOTHING) -> SecretModel:

@@ -128,6 +128,14 @@ def test_query_base_equals_brute_force(spark):
         assert set(base.split(",")) <= set(r["spans"].split(",")) or not base
 
 
+def trim(token, a, b):
+    while a < b and token[a] in secrets.SEPARATORS:
+        a += 1
+    while b > a and token[b - 1] in secrets.SEPARATORS:
+        b -= 1
+    return a, b
+
+
 def plain_markov(text, model):
     """The models' spans of a text, a character at a time."""
     least, table = secrets.LEAST_RATIO, model.ratios
@@ -154,14 +162,18 @@ def plain_markov(text, model):
                 peak, end = total, at
         wide = []
         for a, b in cuts:
-            while a < b and token[a] in secrets.SEPARATORS:
-                a += 1
-            while b > a and token[b - 1] in secrets.SEPARATORS:
-                b -= 1
-            while a > 0 and token[a - 1] not in secrets.SEPARATORS:
-                a -= 1
-            while b < len(token) and token[b] not in secrets.SEPARATORS:
-                b += 1
+            a, b = trim(token, a, b)
+            head = len(re.match("[^=/_-]*", token[a:b]).group())
+            tail = len(re.search("[^=/_-]*$", token[a:b]).group())
+            left, right = re.search("[^=/_-]*$", token[:a]).group(), re.match("[^=/_-]*", token[b:]).group()
+            n = b - a
+            a += head if head < len(left) and head < n else 0
+            b -= tail if tail < len(right) and tail < n else 0
+            a, b = trim(token, a, b)
+            a -= len(re.search("[^=/_-]*$", token[:a]).group())
+            b += len(re.match("[^=/_-]*", token[b:]).group())
+            a = 0 if re.fullmatch("/*", token[:a]) else a
+            b = len(token) if re.fullmatch("[/=]*", token[b:]) else b
             wide.append((a, b))
         cuts = list(dict.fromkeys(wide))
         out += [(m.start() + a, m.start() + b) for a, b in cuts
