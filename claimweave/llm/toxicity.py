@@ -3,15 +3,16 @@
 ``train`` learns the log-odds of words between toxic and other labelled texts.
 A word counts once for each pair of neighbours it occurs between, so copies of
 one text don't make their words toxic. Counts are shrunk by Dirichlet priors:
-a word's prior is that of its prefix (of ``PREFIXES`` bytes) where several
+a word's prior is that of its prefix (of ``PREFIXES`` letters) where several
 words of toxic texts share it, so new forms of a known stem score too.
 
 ``ToxicityModel.column`` scans a text once: words score their log-odds less a
 drift, and all maximal scoring segments are found in linear time (Ruzzo and
 Tompa). A segment's score S is judged as an extreme value over the words of
 clean texts: E = K n exp(-lambda S), lambda solving sum p exp(lambda s) = 1.
-The evidence of a text, the sum of -log E over its segments below 1, becomes a
-probability by a logistic fit on the labelled texts.
+The evidence of a text, the sum of -log E over its segments below 1, and its best
+segment's become a probability by a logistic fit of their logarithms on the
+labelled texts, so one strong passage counts in a text of any length.
 
 Defined cases: null and empty texts have no evidence and get the score of a
 text without any; without toxic or without other labelled texts nothing is
@@ -34,8 +35,7 @@ from claimweave.sources.sinks import stage
 
 #: Words with fewer different neighbour pairs in toxic texts are not learned.
 LEAST_CONTEXTS = 5
-#: Terms (words and prefixes) of the model at most, the most frequent first.
-MOST_TERMS = 200_000
+#: Letters (code points).
 PREFIXES = (6, 5, 4)
 #: Words of toxic texts that must share a prefix before it counts.
 LEAST_FORMS = 4
@@ -46,16 +46,17 @@ MOST_ODDS = 10.0
 _STEP = 0.25
 _ROUNDS = 200
 _RIDGE = 0.1
-_MOST_BIN = 200
 PASSAGES = "score: double, evidence: double, passages: array<struct<begin: bigint, end: bigint, score: double>>"
 
 
 def terms(t: Texts) -> tuple[np.ndarray, list[np.ndarray]]:
     """Hashes of the words of trimmed texts, and of their prefixes (0: no longer than it)."""
-    prefixes = []
+    prefixes, letters = [], np.append(np.flatnonzero((t.buf & 0xC0) != 0x80), len(t.buf))
+    first = np.searchsorted(letters, t.start)
     for n in PREFIXES:
-        h = hash_spans(t.buf, t.start, np.minimum(t.length, n)) ^ np.uint64(n)
-        prefixes.append(np.where(t.length > n, h, np.uint64(0)))
+        size = letters[np.minimum(first + n, len(letters) - 1)] - t.start
+        h = hash_spans(t.buf, t.start, np.minimum(t.length, size)) ^ np.uint64(n)
+        prefixes.append(np.where(t.length > size, h, np.uint64(0)))
     return t.hashes(), prefixes
 
 
@@ -112,7 +113,8 @@ def _find(known: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def train(texts: DataFrame, text_col: str = "text", label_col: str = "label") -> ToxicityModel:
-    """Model of (label, text) rows. The driver holds at most ``MOST_TERMS`` terms."""
+    """Model of (label, text) rows. The driver holds the terms of the toxic ones, whose
+    number the bound on labelled rows limits (``folds.MOST_LABELLED``)."""
     text = F.col(text_col).cast("binary").alias("text")
     rows = texts.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     toxic, clean = rows.filter(F.col(label_col) == 1).select(text), rows.filter(F.col(label_col) == 0).select(text)
@@ -127,7 +129,7 @@ def train(texts: DataFrame, text_col: str = "text", label_col: str = "label") ->
     every = parts[0]
     for part in parts[1:]:
         every = every.union(part)
-    got = every.filter(F.col("n") >= LEAST_CONTEXTS).orderBy(F.desc("n"), "term").limit(MOST_TERMS).toArrow()
+    got = every.filter(F.col("n") >= LEAST_CONTEXTS).toArrow()
     known = got["term"].to_numpy().view(np.uint64)
     order = np.argsort(known, kind="stable")
     known, y1 = known[order], got["n"].to_numpy().astype(float)[order]
@@ -141,7 +143,8 @@ def train(texts: DataFrame, text_col: str = "text", label_col: str = "label") ->
 @dataclass
 class ToxicityModel:
     """Counts of the known terms in toxic (y1 of n1) and clean (y0 of n0) texts,
-    the extreme-value constants and the logistic fit."""
+    the extreme-value constants and the logistic fit: its level, and the slopes of
+    the logarithms of all passages' evidence and of the best one's."""
 
     known: np.ndarray
     y1: np.ndarray
@@ -150,7 +153,7 @@ class ToxicityModel:
     n0: int
     decay: float = 0.0
     spread: float = 0.0
-    slope: float = 0.0
+    slopes: tuple[float, float] = (0.0, 0.0)
     level: float = 0.0
 
     def _odds(self, y1: np.ndarray, y0: np.ndarray, share: np.ndarray) -> np.ndarray:
@@ -220,36 +223,36 @@ class ToxicityModel:
                 yield int(d), float(evidence), found
 
     def fit(self, rows: DataFrame) -> None:
-        """Logistic fit of the labels on the evidence, from a histogram of both."""
+        """Logistic fit of the labels on the evidence, from a histogram of both: a
+        step of the logarithm of all passages' evidence, and one of the best's."""
         model = self
 
-        @F.arrow_udf("int")
-        def bins(texts: pa.Array) -> pa.Array:
-            out = np.zeros(len(texts), np.int32)
+        @F.arrow_udf("struct<sum: int, best: int>")
+        def steps(texts: pa.Array) -> pa.Array:
+            out = np.zeros((2, len(texts)), np.int32)
             for t in runs(texts):
                 t = t.trimmed()
-                for d, evidence, _ in model.segments(t):
-                    out[t.rows[d]] = min(_MOST_BIN, int(np.ceil(evidence / _STEP)))
-            return pa.array(out)
+                for d, evidence, found in model.segments(t):
+                    out[:, t.rows[d]] = np.ceil(_logs(evidence, found) / _STEP)
+            return pa.StructArray.from_arrays([pa.array(out[0]), pa.array(out[1])], ["sum", "best"])
 
-        got = rows.groupBy("label", bins("text").alias("bin")).count().collect()
-        x = np.array([r["bin"] * _STEP / 10 for r in got], float)
+        got = rows.groupBy("label", steps("text").alias("step")).count().collect()
+        x = np.array([[1.0, r["step"]["sum"] * _STEP, r["step"]["best"] * _STEP] for r in got]).reshape(-1, 3)
         y, w = np.array([r["label"] for r in got], float), np.array([r["count"] for r in got], float)
         total = w.sum()
         if not total or not 0 < (w * y).sum() < total:
-            self.slope, self.level = 0.0, 50.0 if total and y.all() else -50.0
+            self.slopes, self.level = (0.0, 0.0), 50.0 if total and y.all() else -50.0
             return
-        beta = np.array([np.log((w * y).sum() / (w * (1 - y)).sum()), 0.0])
+        beta = np.array([np.log((w * y).sum() / (w * (1 - y)).sum()), 0.0, 0.0])
         for _ in range(_ROUNDS):
-            q = 1 / (1 + np.exp(-np.clip(beta[0] + beta[1] * x, -30, 30)))
-            g = np.array([(w * (y - q)).sum(), (w * (y - q) * x).sum()]) - _RIDGE * beta
-            v = w * q * (1 - q)
-            m = np.array([[v.sum(), (v * x).sum()], [(v * x).sum(), (v * x * x).sum()]]) + _RIDGE * np.eye(2)
+            q = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+            g = x.T @ (w * (y - q)) - _RIDGE * beta
+            m = (x * (w * q * (1 - q))[:, None]).T @ x + _RIDGE * np.eye(3)
             step = np.clip(np.linalg.solve(m, g), -2, 2)
             beta += step
             if np.abs(step).max() < 1e-9:
                 break
-        self.level, self.slope = float(beta[0]), float(beta[1]) / 10
+        self.level, self.slopes = float(beta[0]), (float(beta[1]), float(beta[2]))
 
     def column(self, text: Column) -> Column:
         """Struct (score, evidence, passages): the probability of the toxic label,
@@ -258,15 +261,15 @@ class ToxicityModel:
 
         @F.arrow_udf(PASSAGES)
         def score(texts: pa.Array) -> pa.Array:
-            evidence, passages = np.zeros(len(texts)), [[] for _ in range(len(texts))]
+            evidence, logs, passages = np.zeros(len(texts)), np.zeros((len(texts), 2)), [[] for _ in range(len(texts))]
             for t in runs(texts):
                 t = t.trimmed()
                 for d, e, found in model.segments(t):
-                    evidence[t.rows[d]] = e
+                    evidence[t.rows[d]], logs[t.rows[d]] = e, _logs(e, found)
                     begin = t.begin[d]
                     passages[t.rows[d]] = [{"begin": int(t.start[a] - begin), "end": int(t.start[b] + t.length[b] - begin),
                                             "score": float(s)} for a, b, s in found]
-            p = 1 / (1 + np.exp(-np.clip(model.level + model.slope * evidence, -30, 30)))
+            p = 1 / (1 + np.exp(-np.clip(model.level + logs @ np.array(model.slopes), -30, 30)))
             kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
             return pa.StructArray.from_arrays([pa.array(p), pa.array(evidence), pa.array(passages, kind)],
                                               ["score", "evidence", "passages"])
@@ -274,6 +277,10 @@ class ToxicityModel:
         return score(text)
 
 
+def _logs(evidence: float, found: list[tuple[int, int, float]]) -> np.ndarray:
+    return np.log1p([evidence, max(e for _, _, e in found)])
+
+
 def maximal_segments(up: np.ndarray, score: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first word, last word, score), in one pass over
     the words ``up`` of positive score; the words between score ``-DRIFT`` each."""
