@@ -36,7 +36,7 @@ def semi_in(df: DataFrame, key, keys_df: DataFrame, keys_col=None) -> DataFrame:
     return df.join(ks, as_col(key) == F.col(_K), "left_semi")
 
 
-def not_in(df: DataFrame, key, keys_df: DataFrame, keys_col=None) -> DataFrame:
+def not_in(df: DataFrame, key, keys_df: DataFrame, keys_col=None, written: bool = True) -> DataFrame:
     """``key NOT IN (SELECT keys_col FROM keys_df)`` with full three-valued logic.
 
     * empty key set      -> every row passes (even a NULL key);
@@ -46,11 +46,15 @@ def not_in(df: DataFrame, key, keys_df: DataFrame, keys_col=None) -> DataFrame:
     Spark plans SQL ``NOT IN`` as a null-aware anti join that must broadcast
     the whole key set. Here one scalar subquery classifies the set, and the
     anti join itself is an ordinary ``left_anti`` that may sort-merge.
+
+    The de-duplicated keys are written once for both; with ``written=False`` they are
+    planned twice instead, which is cheaper where they come from a plain scan.
     """
     keys_col = keys_col if keys_col is not None else key
-    # One de-duplicated key set (NULL kept as one row), written once, feeds
-    # both the state and the anti join.
-    ks = stage(_key_set(keys_df, keys_col).distinct(), "not_in_keys")
+    # One de-duplicated key set (NULL kept as one row) feeds both the state and
+    # the anti join.
+    ks = _key_set(keys_df, keys_col).distinct()
+    ks = stage(ks, "not_in_keys") if written else ks
     state = ks.select(
         F.when(F.count(F.lit(1)) == 0, F.lit(2))
         .when(F.count_if(F.col(_K).isNull()) == 0, F.lit(1))

@@ -439,10 +439,11 @@ SELECT 'empty' AS label, o_orderkey, k FROM o
 def null_aware_anti(t: Tables) -> DataFrame:
     o = t.t("orders").select("o_orderkey", _null_when_low("o_custkey").alias("k"))
     c = t.t("customer")
-    plain = op.not_in(o, "k", c.where(F.col("c_mktsegment") == "BUILDING"), "c_custkey")
+    plain = op.not_in(o, "k", c.where(F.col("c_mktsegment") == "BUILDING"), "c_custkey", written=False)
     with_null = op.not_in(o, "k", c.select(F.when(F.col("c_mktsegment") != "BUILDING",
-                                                  F.col("c_custkey")).alias("c_custkey")), "c_custkey")
-    empty = op.not_in(o, "k", c.where(F.col("c_acctbal") > 1e15), "c_custkey")
+                                                  F.col("c_custkey")).alias("c_custkey")), "c_custkey",
+                          written=False)
+    empty = op.not_in(o, "k", c.where(F.col("c_acctbal") > 1e15), "c_custkey", written=False)
     return op.union_all(*[d.select(F.lit(lbl).alias("label"), "o_orderkey", "k")
                           for lbl, d in (("plain", plain), ("with_null", with_null), ("empty", empty))])
 
