@@ -72,9 +72,7 @@ class Seeds:
     def rare(self, docs_with: np.ndarray, docs: int) -> Seeds:
         """Only the occurrences that are rare for their item."""
         count = np.repeat(docs_with, np.diff(self.first))
-        most = np.zeros(len(self.ids))
-        for i in np.unique(self.item):
-            most[i] = max(RARE_FACTOR * np.median(count[self.item == i]), RARE_SHARE * docs, RARE_DOCS)
+        most = np.maximum(RARE_FACTOR * _medians(self.item, count, len(self.ids)), max(RARE_SHARE * docs, RARE_DOCS))
         keep = count <= most[self.item]
         gram = np.repeat(np.arange(len(self.grams)), np.diff(self.first))[keep]
         own, first = np.unique(gram, return_index=True)
@@ -97,6 +95,17 @@ class Seeds:
         return h, at[same], k[same]
 
 
+def _medians(group: np.ndarray, value: np.ndarray, groups: int) -> np.ndarray:
+    """The median of each group's values; 0 for a group without any."""
+    order = np.lexsort((value, group))
+    value, n = value[order], np.bincount(group, minlength=groups)
+    first = np.cumsum(n) - n
+    some = n > 0
+    out = np.zeros(groups)
+    out[some] = (value[(first + (n - 1) // 2)[some]] + value[(first + n // 2)[some]]) / 2
+    return out
+
+
 def _documents_with(texts: DataFrame, seeds: Seeds) -> tuple[np.ndarray, int]:
     """In how many documents each gram occurs, and the number of documents."""
 
@@ -136,23 +145,28 @@ def _align(item: np.ndarray, windows: np.ndarray) -> np.ndarray:
 
 
 def _span(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
-    """Words of one window that the best alignment covers."""
-    h = np.zeros((len(item) + 1, len(window) + 1), np.int32)
+    """Words of one window that the best alignment covers. Two sweeps that keep one row:
+    forward for where it ends, and back from there for where it began."""
     slope = GAP * np.arange(len(window) + 1, dtype=np.int32)
+    above, best = np.zeros(len(window) + 1, np.int32), (0, 0, 0)
     for i, word in enumerate(item, 1):
         now = np.zeros(len(window) + 1, np.int32)
-        now[1:] = np.maximum(h[i - 1, :-1] + np.where(window == word, MATCH, MISMATCH), h[i - 1, 1:] - GAP)
-        h[i] = np.maximum.accumulate(np.maximum(now, 0) + slope) - slope
-    i, j = np.unravel_index(h.argmax(), h.shape)
-    end = int(j)
-    while i and j and h[i, j]:
-        if h[i, j] == h[i - 1, j - 1] + (MATCH if window[j - 1] == item[i - 1] else MISMATCH):
-            i, j = i - 1, j - 1
-        elif h[i, j] == h[i - 1, j] - GAP:
-            i -= 1
-        else:
-            j -= 1
-    return int(j), end
+        now[1:] = np.maximum(above[:-1] + np.where(window == word, MATCH, MISMATCH), above[1:] - GAP)
+        above = np.maximum.accumulate(np.maximum(now, 0) + slope) - slope
+        j = int(above.argmax())
+        if above[j] > best[0]:
+            best = (int(above[j]), i, j)
+    score, i, end = best
+    back, slope = window[:end][::-1], slope[:end + 1]
+    above = -slope
+    for k, word in enumerate(item[:i][::-1], 1):
+        now = np.full(end + 1, -GAP * k, np.int32)
+        now[1:] = np.maximum(above[:-1] + np.where(back == word, MATCH, MISMATCH), above[1:] - GAP)
+        above = np.maximum.accumulate(now + slope) - slope
+        met = np.flatnonzero(above == score)
+        if len(met):
+            return end - int(met[0]), end
+    return 0, 0
 
 
 def _matches(t: Texts, seeds: Seeds, table: np.ndarray, least: float, passage: int) -> Iterator[tuple[int, dict]]:

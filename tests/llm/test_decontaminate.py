@@ -1,4 +1,7 @@
 import random
+import tracemalloc
+
+import numpy as np
 
 from llm_cases import awkward, doc, frame, prose
 
@@ -106,3 +109,29 @@ def test_query_equals_brute_force(spark):
     clean = lambda t: [w for w in ("".join(c if c.isalnum() else " " for c in x).strip() for x in t.lower().split()) if w]
     for d, i in got - exact:
         assert brute_score(clean(item[i]), clean(text[d])) >= 0.5
+
+
+def test_grouped_medians():
+    rng = np.random.default_rng(1)
+    group, value = rng.integers(0, 40, 500), rng.integers(0, 99, 500)
+    got = decontaminate._medians(group, value, 42)
+    assert all(got[g] == (np.median(value[group == g]) if (group == g).any() else 0) for g in range(42))
+
+
+def test_span_of_a_long_item_in_one_row_of_memory():
+    rng = np.random.default_rng(2)
+    item = rng.integers(1, 1 << 40, 20_000).astype(np.uint64)
+    window = np.concatenate([rng.integers(1, 1 << 40, 3000).astype(np.uint64), item[5000:5060], rng.integers(1, 1 << 40, 2000).astype(np.uint64)])
+    tracemalloc.start()
+    assert decontaminate._span(item, window) == (3000, 3060)
+    assert tracemalloc.get_traced_memory()[1] < 20 << 20
+    tracemalloc.stop()
+
+
+def test_spans_score_as_the_best_alignment():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        item, window = rng.integers(0, 4, rng.integers(1, 12)).astype(np.uint64), rng.integers(0, 4, rng.integers(1, 20)).astype(np.uint64)
+        a, b = decontaminate._span(item, window)
+        best = brute_score(list(item), list(window))
+        assert brute_score(list(item), list(window[a:b])) == best and (best > 0 or a == b)
