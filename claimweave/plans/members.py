@@ -190,12 +190,16 @@ def member_rows(inp: MembersInputs, p: MembersParams, lists: DataFrame) -> DataF
     j = lists.select(F.col(MEMBER).alias("__j_id"), "diag_h_2_cronicos", "fecha_antiguedad_dx")
     c = place_names(inp.addresses, p)
 
-    x = (a.join(bb, F.col("id_unidad_asegurable") == F.col("__bb_unit"), "left")
-         .join(cc, F.col("id_unidad_asegurable") == F.col("__cc_unit"), "left")
-         .join(b, F.col(MEMBER) == F.col("__b_id"), "left")
-         .join(c, F.col(MEMBER) == F.col("__addr_id"), "left")
-         .join(i, F.col(MEMBER) == F.col("__i_id"), "left")
-         .join(j, F.col(MEMBER) == F.col("__j_id"), "left"))
+    x, salts = a, {}
+    for right, key, own in ((bb, "id_unidad_asegurable", "__bb_unit"), (cc, "id_unidad_asegurable", "__cc_unit"),
+                            (b, MEMBER, "__b_id"), (c, MEMBER, "__addr_id"), (i, MEMBER, "__i_id"), (j, MEMBER, "__j_id")):
+        if p.salt_heavy:
+            # One sketch a key of the premium rows, which all joins on it share.
+            if key not in salts:
+                salts[key] = op.heavy_keys(a, key, int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+            x = op.salted_join(x, right, key, own, "left", salts[key])
+        else:
+            x = x.join(right, F.col(key) == F.col(own), "left")
     # Department / province dimension joins of the reference add no column
     # and no row before this GROUP BY; they are left out.
     e = p.entity

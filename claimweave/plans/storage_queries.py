@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from claimweave import functions as cf
 from claimweave import operators as op
 from claimweave.plans import encounters as enc
+from claimweave.plans import members as mem
 from claimweave.plans import service_lines as svc
 from claimweave.operators.states import read_states, write_months
 from claimweave.plans import catalog  # noqa: F401  whose export query's SQL is used again
-from claimweave.plans.extract_queries import ENCOUNTERS, ENCOUNTERS_SQL, SERVICE_LINES, SERVICE_LINES_SQL, rounded
+from claimweave.plans.extract_queries import (ENCOUNTERS, ENCOUNTERS_SQL, MEMBERS, MEMBERS_SQL, SERVICE_LINES,
+                                                 SERVICE_LINES_SQL, rounded)
 from claimweave.plans.registry import REGISTRY, query
 from claimweave.settings import CO_LOCATED, session_conf
 from claimweave.sources import standin
@@ -151,6 +153,11 @@ def left_join_heavy_keys(t: Tables) -> DataFrame:
     return j.select("l_orderkey", "l_linenumber", "key", "s_name")
 
 
+@query("members_extract_salted", "M1.15 with heavy members", MEMBERS_SQL)
+def members_extract_salted(t: Tables) -> DataFrame:
+    return rounded(mem.members_extract(standin.members_inputs(t), replace(MEMBERS, salt_heavy=True)))
+
+
 # ---------------------------------------------------------------- lists, counts, states
 
 @query("string_list_chunks", "E9 E10", """

@@ -272,6 +272,20 @@ def test_no_task_of_a_salted_join_reads_twice_the_median(spark):
         assert largest(op.salted_join(left, right, "key", "k", "left")) < 2
 
 
+def test_members_with_a_heavy_member(spark):
+    """One member on a third of the premium rows, split over his tasks; the rows are those of plain joins."""
+    from claimweave.plans import members as mem
+    from claimweave.plans.extract_queries import MEMBERS
+
+    inp = standin.members_inputs(Tables(spark, SF_SMALL))
+    k = F.pmod(F.xxhash64("id_unidad_asegurable", "periodo_bitacora"), F.lit(3))
+    hot = inp.premiums.withColumn("id_persona_afiliado", F.when(k == 0, "AX-1").otherwise(F.col("id_persona_afiliado")))
+    inp = replace(inp, premiums=sinks.stage(hot, "premiums"))
+    assert "AX-1" in op.heavy_keys(inp.premiums, "id_persona_afiliado", 8)
+    plain = rows(mem.members_extract(inp, MEMBERS))
+    assert rows(mem.members_extract(inp, replace(MEMBERS, salt_heavy=True))) == plain and plain
+
+
 def test_staged_tables_of_a_job_are_removed(spark, tmp_path):
     root = spark.conf.get("spark.checkpoint.dir")
     inp = standin.encounters_inputs(Tables(spark, SF_SMALL))
