@@ -305,3 +305,20 @@ def encounters_extract_two_snapshots(t: Tables) -> DataFrame:
     """Names of the current snapshot only, though the claims hold an older one with others."""
     inputs = replace(standin.encounters_inputs(t), claims=_two_snapshots(t))
     return rounded(enc.encounters_extract(inputs, replace(ENCOUNTERS, site_snapshot=standin.SNAPSHOT)))
+
+
+@query("provider_sites_latest", "M2.18", f"""
+SELECT id, CASE WHEN id LIKE '%-1' THEN 'ANTES ' || name ELSE name END AS name FROM ({_SITES_SQL})
+""")
+def provider_sites_latest(t: Tables) -> DataFrame:
+    """One name for each site over two snapshots; sites numbered 1 have claims in the older one only."""
+    claims = _two_snapshots(t)
+    own = claims.where((F.col("cod_sede_proveedor_siniestro") != "1") | (F.col("periodo") == F.lit(OLDER)))
+    found = enc.provider_sites(own, latest=True)
+    return found.select(F.col("__sp_id").alias("id"), F.col("nom_sede_proveedor_siniestro").alias("name"))
+
+
+@query("encounters_extract_latest_sites", "M2.18 of the latest names", ENCOUNTERS_SQL)
+def encounters_extract_latest_sites(t: Tables) -> DataFrame:
+    inputs = replace(standin.encounters_inputs(t), claims=_two_snapshots(t))
+    return rounded(enc.encounters_extract(inputs, replace(ENCOUNTERS, latest_sites=True)))

@@ -345,3 +345,13 @@ def test_monthly_runs_replace_their_month(spark, tmp_path):
     assert months(spark, table) == [ENCOUNTERS.as_of.replace(day=1)] and spark.table(table).count() == len(want) > 0
     for t in (table, f"{table}_whole"):
         sinks.drop_table(spark, t)
+
+
+def test_latest_site_names(spark):
+    data = [("P", "1", "old", D(2024, 1, 1)), ("P", "1", "new", D(2024, 2, 1)), ("P", "1", "also new", D(2024, 2, 1)),
+            ("P", "1", None, D(2024, 3, 1)), ("P", "2", None, D(2024, 1, 1)), ("Q", None, "x", D(2024, 1, 1)), (None, "1", "y", D(2024, 1, 1))]
+    claims = spark.createDataFrame(data, "id_persona_proveedor_siniestro string, cod_sede_proveedor_siniestro string, "
+                                         "nom_sede_proveedor_siniestro string, periodo date")
+    assert rows(enc.provider_sites(claims, latest=True)) == [("P-1", "new"), ("P-2", None), (None, "x")]
+    assert len(rows(enc.provider_sites(claims))) == 6
+    assert rows(enc.provider_sites(claims, D(2024, 1, 1))) == [("P-1", "old"), ("P-2", None), (None, "x")]
