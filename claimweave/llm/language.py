@@ -11,7 +11,7 @@ log(words)``). All learned languages can be in it, with any share of the words.
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 so is every text if no labelled text has a letter. Rows with a null label or
 text train nothing. Repeated rows count as often as they occur. Texts are read
-whole, in runs of bounded size; ties between languages go to the first by name.
+whole, long ones in pieces of which only the words' likelihoods are kept; ties between languages go to the first by name.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimweave.llm.textbatch import Texts, runs
+from claimweave.llm.textbatch import Texts, pieces
 
 UNDETERMINED = "und"
 #: Buckets of hashed n-grams (a power of two); the model holds languages x buckets counts.
@@ -32,6 +32,7 @@ BUCKET_BITS = 16
 SMOOTHING = 0.5
 ROUNDS = 10
 PENALTY = 2.0
+_WORDS_AT_ONCE = 1 << 18
 
 _KIND = np.zeros(256, bool)
 _KIND[[*range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = True
@@ -67,7 +68,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         total: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = batch.column(1).to_pylist()
-            for t in runs(batch.column(0)):
+            for t, _, _ in pieces(batch.column(0)):
                 at, g = _grams(t, bucket_bits)
                 own = [langs[r] for r in t.rows]
                 names = sorted(set(own))
@@ -108,8 +109,18 @@ class LanguageModel:
         @F.arrow_udf("lang string, score double, languages string")
         def identify(texts: pa.Array) -> pa.Array:
             out = [(UNDETERMINED, 0.0, "")] * len(texts)
-            for t in runs(texts):
-                for row, found in zip(t.rows, model.infer(t, penalty), strict=True):
+            held: list[tuple[np.ndarray, bool]] = []
+            for t, opens, closes in pieces(texts):
+                logs, doc = model.word_logs(t)
+                lettered = _lettered(t)
+                if not (opens and closes):
+                    # Of a long text only the words' likelihoods are kept together.
+                    held = [*([] if opens else held), (logs, bool(lettered.any()))]
+                    if not closes:
+                        continue
+                    logs, lettered = np.concatenate([x for x, _ in held]), np.array([any(x for _, x in held)])
+                    doc, held = np.zeros(len(logs), np.int64), []
+                for row, found in zip(t.rows, model.infer(logs, doc, lettered, penalty), strict=True):
                     out[row] = found
             lang, score, languages = zip(*out, strict=True) if out else ((), (), ())
             return pa.StructArray.from_arrays(
@@ -118,23 +129,27 @@ class LanguageModel:
 
         return identify(text)
 
-    def infer(self, t: Texts, penalty: float) -> list[tuple[str, float, str]]:
-        """(lang, score, languages) of each text of a run."""
+    def word_logs(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """(log-likelihoods of the words that hold letters, under each language; text of each)."""
         at, g = _grams(t, self.bucket_bits)
-        found = [(UNDETERMINED, 0.0, "")] * t.n
         if not self.names or not len(at):
-            return found
-        # Words that hold letters, with their log-likelihood under each language.
+            return np.zeros((0, len(self.names)), np.float32), np.zeros(0, np.int64)
         word = np.searchsorted(t.start, at, side="right") - 1
         first = np.flatnonzero(np.diff(word, prepend=-1))
-        logs = np.add.reduceat(self.logs[g], first, axis=0)
-        doc = t.doc[word[first]]
+        return np.add.reduceat(self.logs[g], first, axis=0), t.doc[word[first]]
+
+    def infer(self, logs: np.ndarray, doc: np.ndarray, lettered: np.ndarray, penalty: float) -> list[tuple[str, float, str]]:
+        """(lang, score, languages) of each text, from its words' log-likelihoods;
+        texts that are not ``lettered`` are undetermined."""
+        found = [(UNDETERMINED, 0.0, "")] * len(lettered)
+        if not len(logs):
+            return found
         best = logs.max(axis=1, keepdims=True)
         p = np.exp(np.maximum(logs - best, -30.0))
         begin = np.flatnonzero(np.diff(doc, prepend=-1))
         own, n = doc[begin], np.diff(np.append(begin, len(doc)))
         at_word = np.repeat(np.arange(len(own)), n)
-        share = _em(p, begin, at_word, n, np.full((len(own), len(self.names)), 1 / len(self.names), np.float32))
+        share = _em(p, at_word, n, np.full((len(own), len(self.names)), 1 / len(self.names), np.float32))
         single = np.add.reduceat(logs - best, begin, axis=0)
         main = single.argmax(axis=1)
         rank = np.argsort(-share, axis=1, kind="stable")
@@ -153,7 +168,7 @@ class LanguageModel:
             bk = np.concatenate([[0], np.cumsum(nk)[:-1]])
             wk = np.repeat(np.arange(len(try_docs)), nk)
             prior = share[try_docs] * allowed
-            fit = _em(p[some], bk, wk, nk, prior / prior.sum(axis=1, keepdims=True))
+            fit = _em(p[some], wk, nk, prior / prior.sum(axis=1, keepdims=True))
             like = np.add.reduceat(np.log(np.maximum((p[some] * fit[wk]).sum(axis=1), 1e-30)), bk)
             gain = like - penalty * (k - 1) * np.log(nk)
             better = gain > value[try_docs]
@@ -163,19 +178,29 @@ class LanguageModel:
             order = [j for j in np.argsort(-chosen[i], kind="stable") if chosen[i, j] > 0]
             found[d] = (self.names[order[0]], float(min(1.0, chosen[i, order[0]])),
                         ",".join(f"{self.names[j]}:{chosen[i, j]:.3f}" for j in order))
-        only_bytes = _KIND[:0x80]
-        for d in own:
-            raw = t.buf[t.begin[d]:t.end[d]]
-            if raw.max(initial=0) >= 0x80 and not only_bytes[raw[raw < 0x80]].any():
-                if not any(c.isalpha() for c in raw.tobytes().decode("utf-8", "ignore")):
-                    found[d] = (UNDETERMINED, 0.0, "")
-        return found
+        return [x if ok else (UNDETERMINED, 0.0, "") for x, ok in zip(found, lettered, strict=True)]
+
+
+def _lettered(t: Texts) -> np.ndarray:
+    """Whether each text has a letter; bytes beyond ASCII may be none."""
+    out = np.zeros(t.n, bool)
+    for d in range(t.n):
+        raw = t.buf[t.begin[d]:t.end[d]]
+        ascii_letter = _KIND[raw] & (raw < 0x80)
+        out[d] = ascii_letter.any() or (raw.max(initial=0) >= 0x80 and any(
+            c.isalpha() for c in raw.tobytes().decode("utf-8", "ignore")))
+    return out
 
 
-def _em(p: np.ndarray, begin: np.ndarray, doc: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:
+def _em(p: np.ndarray, doc: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:
     """Proportions of each text's words after ``ROUNDS`` rounds of expectation-maximisation."""
     for _ in range(ROUNDS):
-        r = p * share[doc]
-        r /= np.maximum(r.sum(axis=1, keepdims=True), 1e-30)
-        share = np.add.reduceat(r, begin, axis=0) / n[:, None]
-    return share.astype(np.float32)
+        total = np.zeros(share.shape)
+        for lo in range(0, len(p), _WORDS_AT_ONCE):
+            own = doc[lo:lo + _WORDS_AT_ONCE]
+            r = p[lo:lo + _WORDS_AT_ONCE] * share[own]
+            r /= np.maximum(r.sum(axis=1, keepdims=True), 1e-30)
+            first = np.flatnonzero(np.diff(own, prepend=-1))
+            total[own[first]] += np.add.reduceat(r, first, axis=0)
+        share = (total / n[:, None]).astype(np.float32)
+    return share

@@ -170,3 +170,22 @@ def test_plain_versions_notice_a_wrong_model(spark):
     before = [plain_language(model, t) for t in texts]
     model.logs = -model.logs
     assert sum(a != b for a, b in itertools.zip_longest(before, [plain_language(model, t) for t in texts])) > 20
+
+
+def test_languages_of_long_texts_in_pieces(spark, monkeypatch):
+    from claimweave.llm import textbatch
+
+    docs, _ = tables(spark)
+    model = language.train(docs)
+    some = [r["text"] for r in docs.limit(30).collect()]
+    rows = [(1, " ".join(some)), (2, some[0]), (3, " 12 \n" * 900), (4, "☃ " * 900 + "é"), (5, None), (6, " ".join(some[:4]) + " " * 3000)]
+    df = spark.createDataFrame(rows, "i int, text string")
+    found = lambda: {r["i"]: r["f"] for r in df.select("i", model.column(df["text"]).alias("f")).collect()}
+    whole = found()
+    counts = language.train(docs).logs
+    monkeypatch.setattr(textbatch, "CHUNK", 700)
+    cut = found()
+    assert {i: f["lang"] for i, f in cut.items()} == {i: f["lang"] for i, f in whole.items()}
+    assert all(abs(cut[i]["score"] - f["score"]) < 1e-4 for i, f in whole.items())
+    assert whole[3]["lang"] == whole[5]["lang"] == language.UNDETERMINED != whole[4]["lang"]
+    assert np.array_equal(language.train(docs).logs, counts)
