@@ -149,7 +149,7 @@ class LanguageModel:
         begin = np.flatnonzero(np.diff(doc, prepend=-1))
         own, n = doc[begin], np.diff(np.append(begin, len(doc)))
         at_word = np.repeat(np.arange(len(own)), n)
-        share = _em(p, at_word, n, np.full((len(own), len(self.names)), 1 / len(self.names), np.float32))
+        share = _em(p, begin, at_word, n, np.full((len(own), len(self.names)), 1 / len(self.names), np.float32))
         single = np.add.reduceat(logs - best, begin, axis=0)
         main = single.argmax(axis=1)
         rank = np.argsort(-share, axis=1, kind="stable")
@@ -168,7 +168,7 @@ class LanguageModel:
             bk = np.concatenate([[0], np.cumsum(nk)[:-1]])
             wk = np.repeat(np.arange(len(try_docs)), nk)
             prior = share[try_docs] * allowed
-            fit = _em(p[some], wk, nk, prior / prior.sum(axis=1, keepdims=True))
+            fit = _em(p[some], bk, wk, nk, prior / prior.sum(axis=1, keepdims=True))
             like = np.add.reduceat(np.log(np.maximum((p[some] * fit[wk]).sum(axis=1), 1e-30)), bk)
             gain = like - penalty * (k - 1) * np.log(nk)
             better = gain > value[try_docs]
@@ -192,15 +192,16 @@ def _lettered(t: Texts) -> np.ndarray:
     return out
 
 
-def _em(p: np.ndarray, doc: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Proportions of each text's words after ``ROUNDS`` rounds of expectation-maximisation."""
+def _em(p: np.ndarray, begin: np.ndarray, doc: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Proportions of each text's words, which start at ``begin``, after ``ROUNDS``
+    rounds of expectation-maximisation; many words are taken in slices."""
     for _ in range(ROUNDS):
         total = np.zeros(share.shape)
         for lo in range(0, len(p), _WORDS_AT_ONCE):
             own = doc[lo:lo + _WORDS_AT_ONCE]
             r = p[lo:lo + _WORDS_AT_ONCE] * share[own]
             r /= np.maximum(r.sum(axis=1, keepdims=True), 1e-30)
-            first = np.flatnonzero(np.diff(own, prepend=-1))
+            first = begin if len(own) == len(p) else np.flatnonzero(np.diff(own, prepend=-1))
             total[own[first]] += np.add.reduceat(r, first, axis=0)
         share = (total / n[:, None]).astype(np.float32)
     return share
