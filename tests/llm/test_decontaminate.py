@@ -88,12 +88,35 @@ def test_awkward_rows(spark):
     assert found(spark, [], bench) == {}
 
 
-def test_blocks_of_items(spark, monkeypatch):
-    bench = [(k, prose(k * 11 + 3, 30)) for k in range(5)]
-    docs = [doc(k, text) for k, text in bench]
-    whole = set(found(spark, docs, bench))
-    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 2)
-    assert set(found(spark, docs, bench)) == whole == {(k, k) for k in range(5)}
+def test_long_texts_in_pieces(spark, monkeypatch):
+    """Grams, places and stretches across the pieces of a long text."""
+    from claimweave.llm import textbatch
+    bench = [(k, prose(k * 11 + 3, 30)) for k in range(5)] + [(9, prose(77, 300))]
+    rows = [doc(1, "\n".join(prose(600 + k, 40) + " -- " + bench[k % 6][1] for k in range(12))), doc(2, bench[2][1]),
+            doc(3, prose(700, 500) + " " + bench[5][1][20:] + " " + prose(701, 400))]
+    whole = found(spark, rows, bench)
+    monkeypatch.setattr(textbatch, "CHUNK", 150)
+    assert found(spark, rows, bench) == whole
+    assert set(whole) == {(1, i) for i, _ in bench} | {(2, 2), (3, 9)}
+
+
+def test_hot_items_and_texts(spark):
+    """A third of the documents are one text, a third of the items are one item."""
+    bench = [(k, prose(k * 11 + 3, 30)) for k in range(20)] + [(100 + k, prose(3, 30)) for k in range(10)]
+    docs = [doc(k, prose(1) + " " + bench[0][1]) for k in range(200)] + [doc(1000 + k, prose(2000 + k) + " " + bench[k % 20][1]) for k in range(400)]
+    same = [0, *range(100, 110)]
+    want = {(k, i) for k in range(200) for i in same}
+    want |= {(1000 + k, i) for k in range(400) for i in (same if k % 20 == 0 else [k % 20])}
+    assert set(found(spark, docs, bench)) == want
+
+
+def test_no_item_is_collected_or_shipped(spark):
+    """Beside the filter of bounded size, the benchmark stays in Spark: its size is no row of a driver's list."""
+    many = spark.range(40_000).selectExpr(
+        "id as item_id", "concat_ws(' ', transform(sequence(1, 12), k -> concat('w', substr(sha1(concat(id, '.', k)), 1, 6)))) as text")
+    docs = many.filter("item_id % 1000 = 7").selectExpr("item_id as doc_id", "concat('and so ', text, ' it went') as text")
+    got = {(r["doc_id"], r["item_id"], r["score"]) for r in decontaminate.contaminated(docs, many).collect()}
+    assert got == {(i, i, 1.0) for i in range(7, 40_000, 1000)}
 
 
 def test_query_equals_brute_force(spark):
@@ -111,11 +134,12 @@ def test_query_equals_brute_force(spark):
         assert brute_score(clean(item[i]), clean(text[d])) >= 0.5
 
 
-def test_grouped_medians():
+def test_filter_holds_every_gram(spark):
     rng = np.random.default_rng(1)
-    group, value = rng.integers(0, 40, 500), rng.integers(0, 99, 500)
-    got = decontaminate._medians(group, value, 42)
-    assert all(got[g] == (np.median(value[group == g]) if (group == g).any() else 0) for g in range(42))
+    grams = rng.integers(-(1 << 63), (1 << 63) - 1, 3000)
+    held = decontaminate.GramFilter(spark.createDataFrame([(int(g),) for g in grams], "gram long"))
+    assert held.may_hold(grams.view(np.uint64)).all()
+    assert held.may_hold(rng.integers(0, 1 << 63, 100_000).astype(np.uint64)).mean() < 0.03
 
 
 def test_span_of_a_long_item_in_one_row_of_memory():
