@@ -62,8 +62,7 @@ def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Documents that hold no passage of the benchmark."""
     bound_batches(spark)
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    hits = decontaminate.column(F.col("text"), decontaminate.seeds(docs, benchmark))
-    return docs.select(*COLUMNS, hits.alias("hits")).filter(F.size("hits") == 0).select(*COLUMNS)
+    return decontaminate.clean(docs.select(*COLUMNS), benchmark)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
