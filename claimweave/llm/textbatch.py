@@ -1,8 +1,8 @@
 """Words of many texts at once, as numpy arrays.
 
 The operators that read whole texts in ``mapInArrow`` work on runs of texts
-joined into one byte buffer. A run holds about ``CHUNK`` bytes or one text, so
-the arrays stay small whatever the batch holds.
+joined into one byte buffer. A run of ``runs`` holds about ``CHUNK`` bytes or one
+text, whatever its size; ``pieces`` cuts a longer text into runs of that size.
 """
 
 from __future__ import annotations

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.llm.ordering import add_offsets
+from claimweave.operators import salted_join
 from claimweave.sources.sinks import scratch_path, stage
 
 LEAST_BYTES = 0
@@ -71,14 +72,22 @@ def captures(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pa
                         payload_digest(payload).alias("payload_digest"))
     # Only payloads that occur again need a place in the join.
     again = stage(rows.groupBy("payload_digest").agg(F.min("page_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-                  .filter("n > 1").select(F.col("payload_digest").alias("digest"), "first_id"), "payloads")
-    rows = rows.join(again, F.col("payload_digest") == F.col("digest"), "left")
+                  .filter("n > 1").select(F.col("payload_digest").alias("digest"), "first_id", "n"), "payloads")
+    rows = salted_join(rows, again.drop("n"), "payload_digest", "digest", "left", _salts(again))
     revisit = (F.col("digest").isNotNull() & (F.col("payload_bytes") >= least_bytes)
                & ~F.col("page_id").eqNullSafe(F.col("first_id")))
     return rows.withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn(
         "refers_to", F.when(revisit, F.col("first_id"))).drop("digest", "first_id")
 
 
+def _salts(again: DataFrame) -> dict[str, int]:
+    """{digest: salts} of the payloads with so many copies that one task should not get them
+    all, were the join to shuffle: at most two for each partition."""
+    copies = again.agg(F.sum("n")).first()[0] or 0
+    piece = max(2, copies // (2 * int(again.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return {r["digest"]: -(-r["n"] // piece) for r in again.filter(F.col("n") > piece).collect()}
+
+
 def _record() -> Column:
     """The text of a record, without the two line ends behind it."""
     number = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))

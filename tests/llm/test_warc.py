@@ -62,6 +62,19 @@ def test_records_are_found_by_offset(spark, tmp_path):
             assert block.partition(b"\r\n\r\n")[2].decode() == html[r["page_id"]]
 
 
+def test_hot_payload_is_dealt_over_salts(spark):
+    """Roles without a broadcast, where one payload is most of the rows."""
+    from claimweave.settings import session_conf
+    pages = [(k if k % 50 else None, f"http://h.example/{k}", "same" if k % 4 else f"p{k % 12}", "", 0, "", 0) for k in range(600)]
+    pages.append(pages[1])
+    again = spark.createDataFrame([("hot", 0, 450), ("cold", 1, 50)], "digest string, first_id int, n long")
+    assert warc._salts(again)["hot"] > 1 and set(warc._salts(again)) <= {"hot", "cold"}
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        got = warc.captures(table(spark, pages)).select(
+            "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert sorted(map(tuple, got), key=str) == brute(pages)
+
+
 def test_small_payloads_stay_responses(spark):
     got = warc.archive_and_index(table(spark), least_bytes=11).collect()
     assert {r["record_type"] for r in got if r["payload_bytes"] < 11} == {"response"}
