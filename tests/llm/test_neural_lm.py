@@ -149,6 +149,43 @@ def test_batched_scores_equal_the_softmax():
         assert np.allclose(lm.log10_of(flat, at), want, atol=1e-3, rtol=1e-4)
 
 
+def test_scoring_takes_no_exponentials_for_tokens(monkeypatch):
+    rng = np.random.default_rng(3)
+    lm = neural_lm.LogBilinear(20, frequency=rng.integers(1, 9, 20).astype(float))
+    flat, done, exp = rng.integers(0, 20, 40_000).astype(np.int16), [], np.exp
+    monkeypatch.setattr(np, "exp", lambda x, *a, **kw: done.append(np.size(x)) or exp(x, *a, **kw))
+    got = lm.log10_of(flat, np.arange(neural_lm.CONTEXT, len(flat)))
+    assert len(got) == len(flat) - neural_lm.CONTEXT and sum(done) <= neural_lm.CONTEXT * 20 * 20
+
+
+def test_scores_beyond_the_reach_of_tables(monkeypatch):
+    monkeypatch.setattr(neural_lm, "_TOKENS_AT_ONCE", 50)
+    rng = np.random.default_rng(4)
+    lm = neural_lm.LogBilinear(12, frequency=rng.integers(1, 9, 12).astype(float))
+    lm.arrays[0][3] *= 900  # contexts with this class are beyond reach, some only together
+    lm.arrays[0][5] *= 120
+    lm.arrays[3] -= 60      # a shift of all biases changes nothing
+    flat = np.concatenate([rng.choice([0, 1, 2, 4, 6, 7], 1000), rng.integers(0, 12, 1000)]).astype(np.int16)
+    at = np.arange(neural_lm.CONTEXT, 2000)
+    r, q, position, bias = (x.astype(np.float64) for x in lm.arrays[:4])
+    z = sum(r[flat[at - 1 - j]] * position[j] for j in range(neural_lm.CONTEXT)) @ q.T + bias
+    z -= z.max(axis=1, keepdims=True)
+    want = (z[np.arange(len(at)), flat[at]] - np.log(np.exp(z).sum(axis=1))) / np.log(10)
+    got = lm.log10_of(flat, at)
+    assert np.allclose(got, want, atol=2e-5, rtol=1e-5)
+    far = sum(x[flat[at - 1 - j]] for j, x in enumerate(lm.tables()[1]))
+    assert (far > neural_lm._REACH).any() and (far[:900] < neural_lm._REACH).all()
+
+
+def test_words_with_one_hash_and_different_endings_count_apart(spark, monkeypatch):
+    monkeypatch.setattr(textbatch.Texts, "hashes", lambda t: textbatch.mix(t.length))
+    rows = corpus(60)
+    met = {w for r in rows for w in words(r[1])}
+    kinds = {(len(w.encode()), int(neural_lm.endings(textbatch.to_texts([0], [w.encode()]))[0])) for w in met}
+    v = trained(spark, rows).vocabulary
+    assert len({n for n, _ in kinds}) < len(kinds) and v.distinct == len(kinds) + 1
+
+
 def test_held_out_texts_are_better_than_by_frequency(spark):
     rows = corpus(1500)
     lm = trained(spark, [r for r in rows if not held(r[0])])
