@@ -7,7 +7,7 @@ from claimweave.functions.text import (digits_only, digits_or_raw, first_token,
 from claimweave.functions.dates import (add_stay, days_between, earlier_of, fmt_datetime,
                                         fmt_yyyymm, in_year, month_end_fallback,
                                         month_start, safe_date, strict_date, ts_ntz)
-from claimweave.functions.money import pick_amount, to_double
+from claimweave.functions.money import pick_amount, picked, to_double
 
 __all__ = [
     "claim_key", "pad_lot", "prefixed", "strip_prefix", "truncate_key",
@@ -15,5 +15,5 @@ __all__ = [
     "remove_char", "trim_ws",
     "add_stay", "days_between", "earlier_of", "fmt_datetime", "fmt_yyyymm", "in_year",
     "month_end_fallback", "month_start", "safe_date", "strict_date", "ts_ntz",
-    "pick_amount", "to_double",
+    "pick_amount", "picked", "to_double",
 ]
