@@ -132,6 +132,29 @@ def test_bloom_filter_stands_before_the_feed_shuffle(spark):
     assert rows(op.semi_in_filtered(e, "ID", ids, "k")) == want
 
 
+def test_each_feed_has_one_filter_and_the_feed_joins_none(spark, stored):
+    """Each filter goes through the driver, so a plan may hold one only: that of the claim keys."""
+    prefix, _ = stored
+    filters = {}
+
+    def stage(df, name):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        filters.setdefault(name, []).append((plan.count("bloom_filter_agg("), plan.count("bloom_filter_agg(xxhash64(__key")))
+        return sinks.stage(df, name)
+
+    own = replace(standin.service_lines_inputs(Tables(spark, SF_SMALL)), feeds=feed_store.open_feeds(spark, prefix, ("M", "N")))
+    with session_conf(spark, {**CO_LOCATED, **NO_BROADCAST}):
+        svc.service_lines_extract(own, replace(SERVICE_LINES, filter_keys=True), stage)
+    assert filters.pop("service_filtered_encounters") == [(1, 1), (1, 1)]
+    assert all(f == [(0, 0)] * len(f) for f in filters.values())
+
+
+def test_a_filter_is_bounded_and_lets_more_pass(spark):
+    bits, on = "spark.sql.optimizer.runtime.bloomFilter.numBits", "spark.sql.optimizer.runtime.bloomFilter.enabled"
+    assert bloom_settings(14_000_000)[bits] == str(1 << 26) and bloom_settings(14_000_000)[on] == "true"
+    assert bloom_settings(40_000_000)[on] == "false"
+
+
 def test_bloom_settings_follow_the_number_of_keys(spark):
     assert bits_for(0) == 64 and 7 < bits_for(10 ** 6) / 10 ** 6 < 8
     assert bloom_settings(10 ** 9)["spark.sql.optimizer.runtime.bloomFilter.enabled"] == "false"
